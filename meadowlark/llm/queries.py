@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import media_sniff
+from meadowlark.llm import media_sniff, mixing, pii
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.media_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op9_media_columns": op9_media_columns}
+    return {
+        "op5_mix_sources": op5_mix_sources,
+        "op9_media_columns": op9_media_columns,
+        "op10_pii": op10_pii,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
