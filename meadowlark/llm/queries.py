@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import media_sniff, mixing, pii
+from meadowlark.llm import lang_id, media_sniff, mixing, ngram_join, pii
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.language_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.media_digest(table(spark, sf_dir, "documents"))
 
@@ -26,7 +34,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op5_mix_sources": op5_mix_sources,
+        "op7_language_id": op7_language_id,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
     }
