@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import lang_id, media_sniff, mixing, ngram_join, pii
+from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, token_counts
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,22 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_digest(table(spark, sf_dir, "conversations"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_digest(table(spark, sf_dir, "documents"))
 
@@ -35,7 +47,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op3_token_counts": op3_token_counts,
+        "op4_decontaminate": op4_decontaminate,
         "op5_mix_sources": op5_mix_sources,
+        "op6_chat_format": op6_chat_format,
         "op7_language_id": op7_language_id,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
