@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, token_counts
+from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisit.revisit_digest(table(spark, sf_dir, "pages"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.media_digest(table(spark, sf_dir, "documents"))
 
@@ -52,10 +56,11 @@ def queries() -> dict[str, Query]:
         "op5_mix_sources": op5_mix_sources,
         "op6_chat_format": op6_chat_format,
         "op7_language_id": op7_language_id,
+        "op8_warc_revisits": op8_warc_revisits,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc_revisits": warc_revisit.ORACLE}
