@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, token_counts, warc_revisit
+import corpus_pipeline
+from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, suffix_dedup, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_decontaminate": op4_decontaminate,
         "op5_mix_sources": op5_mix_sources,
@@ -59,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
+        "pipeline": corpus_pipeline.run,
     }
 
 
