@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from meadowlark.operators.rank import percentile
 
-ROWS = Window.partitionBy("symbol").orderBy("dt")
+
+def rows():
+    return Window.partitionBy("symbol").orderBy("dt")
 
 
 def last(n: int):
-    return ROWS.rowsBetween(-(n - 1), 0)
+    return rows().rowsBetween(-(n - 1), 0)
 
 
 def full(aggregate, value: Column, n: int) -> Column:
@@ -21,7 +23,7 @@ def full(aggregate, value: Column, n: int) -> Column:
 
 
 def diff(value: str) -> Column:
-    return F.col(value) - F.lag(value).over(ROWS)
+    return F.col(value) - F.lag(value).over(rows())
 
 
 def sma(n: int, value: str = "close") -> Column:
@@ -36,7 +38,7 @@ def ema(bars: DataFrame, span: int = 21, value: str = "close", out: str = "ema")
     """(symbol, dt, value, ema): the recursion e = a x + (1 - a) e, from the first value on; rows with a
     null value carry none. A symbol's rows are gathered to an array: as many as its dates."""
     a = 2.0 / (span + 1)
-    rows = bars.where(F.col(value).isNotNull()).groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("dt", F.col(value).alias("x")))).alias("xs"))
+    gathered = bars.where(F.col(value).isNotNull()).groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("dt", F.col(value).alias("x")))).alias("xs"))
     kind = "array<struct<dt: date, x: double, e: double>>"
 
     def step(so_far: Column, r: Column) -> Column:
@@ -44,7 +46,7 @@ def ema(bars: DataFrame, span: int = 21, value: str = "close", out: str = "ema")
         return F.struct(e.alias("e"), F.concat(so_far["out"], F.array(F.struct(r["dt"].alias("dt"), r["x"].alias("x"), e.alias("e")))).alias("out"))
 
     start = F.struct(F.lit(None).cast("double").alias("e"), F.array().cast(kind).alias("out"))
-    done = rows.select("symbol", F.explode(F.aggregate("xs", start, step, lambda s: s["out"])).alias("r"))
+    done = gathered.select("symbol", F.explode(F.aggregate("xs", start, step, lambda s: s["out"])).alias("r"))
     return done.select("symbol", "r.dt", F.col("r.x").alias(value), F.col("r.e").alias(out))
 
 
@@ -58,7 +60,7 @@ def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
 
 
 def true_range() -> Column:
-    before = F.lag("close").over(ROWS)
+    before = F.lag("close").over(rows())
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
@@ -77,10 +79,10 @@ def vwap(bars: DataFrame, reset: Column | None = None) -> DataFrame:
     """Adds ``vwap``: cumulative typical price by volume, over all of a symbol's rows or anew for each
     value of ``reset`` (a day, for bars within days)."""
     keys = ["symbol"] + ([] if reset is None else ["_reset"])
-    rows = bars if reset is None else bars.withColumn("_reset", reset)
+    per = bars if reset is None else bars.withColumn("_reset", reset)
     w = Window.partitionBy(*keys).orderBy("ts" if "ts" in bars.columns else "dt").rowsBetween(Window.unboundedPreceding, 0)
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
-    return rows.withColumn("vwap", F.try_divide(F.sum(typical * F.col("volume")).over(w), F.sum("volume").over(w))).drop("_reset")
+    return per.withColumn("vwap", F.try_divide(F.sum(typical * F.col("volume")).over(w), F.sum("volume").over(w))).drop("_reset")
 
 
 def benchmark(bars: DataFrame) -> DataFrame:
@@ -92,9 +94,9 @@ def rrs(bars: DataFrame, index: DataFrame, n: int = 12, digits: int | None = Non
     """(symbol, dt, rrs, rrs_percentile): a symbol's move beyond the index's, in true ranges, summed over
     n rows and ranked by date. ``index`` is a row a date. ``digits`` rounds the sums before ranking."""
     one = with_atr(index.withColumn("symbol", F.lit(0))).withColumn("b_move", diff("close")).select("dt", "b_move", F.col("atr").alias("b_atr"))
-    rows = with_atr(bars).withColumn("move", diff("close")).join(F.broadcast(one), "dt")
+    moved = with_atr(bars).withColumn("move", diff("close")).join(F.broadcast(one), "dt")
     beyond = F.try_divide(F.col("move") - F.try_divide(F.col("b_move") * F.col("atr"), F.col("b_atr")), F.col("atr"))
-    summed = rows.withColumn("beyond", beyond).withColumn("rrs", full(F.sum, F.col("beyond"), n)).where("rrs is not null")
+    summed = moved.withColumn("beyond", beyond).withColumn("rrs", full(F.sum, F.col("beyond"), n)).where("rrs is not null")
     summed = summed.withColumn("rrs", F.round("rrs", digits)) if digits is not None else summed
     return percentile(summed.select("symbol", "dt", "rrs"), "rrs", ["dt"], "rrs_percentile")
 
@@ -102,10 +104,10 @@ def rrs(bars: DataFrame, index: DataFrame, n: int = 12, digits: int | None = Non
 def buying_pressure(bars: DataFrame, n: int = 20, share: float = 0.3) -> DataFrame:
     """Adds ``buying_pressure``: of the money traded on days that moved at least ``share`` of a true
     range, the part of the days that rose, over n rows."""
-    rows = with_atr(bars).withColumn("_d", diff("close"))
+    moved = with_atr(bars).withColumn("_d", diff("close"))
     money = F.coalesce(F.col("close") * F.col("volume"), F.lit(0.0))
     big = F.abs("_d") >= F.col("atr") * share
-    rows = rows.withColumn("_up", F.when(big & (F.col("_d") > 0), money).otherwise(0.0)).withColumn("_down", F.when(big & (F.col("_d") < 0), money).otherwise(0.0))
+    moved = moved.withColumn("_up", F.when(big & (F.col("_d") > 0), money).otherwise(0.0)).withColumn("_down", F.when(big & (F.col("_d") < 0), money).otherwise(0.0))
     up, down = full(F.sum, F.col("_up"), n), full(F.sum, F.col("_down"), n)
-    rows = rows.withColumn("_u", up).withColumn("_t", up + down)
-    return rows.withColumn("buying_pressure", F.when(F.col("_t") > 0, F.col("_u") / F.col("_t"))).drop("_d", "_up", "_down", "_u", "_t")
+    moved = moved.withColumn("_u", up).withColumn("_t", up + down)
+    return moved.withColumn("buying_pressure", F.when(F.col("_t") > 0, F.col("_u") / F.col("_t"))).drop("_d", "_up", "_down", "_u", "_t")

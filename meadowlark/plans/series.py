@@ -14,18 +14,24 @@ from meadowlark.sources import derived, readers
 ERA_DATES = ["S49.9.24", "H1.1.4", "R6.6.30", "H31.4.30", "X1.1.1", "R6.13.1", "-"]
 
 
+def single(df: DataFrame, column: str) -> DataFrame:
+    """A column to single precision: these sums end in decimal ties, which rounding would decide by noise."""
+    return df.withColumn(column, F.col(column).cast("float").cast("double"))
+
+
 def sectors(spark, sf) -> DataFrame:
     return derived.sector_series(bars_of(spark, sf), derived.dim(spark, sf))
 
 
 @query(
     "yield_unpivot",
-    """WITH r AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS dt, round(avg(l_discount), 6) AS y2, round(avg(l_tax), 6) AS y10, round(avg(l_extendedprice), 4) AS y30 FROM lineitem GROUP BY 1),
+    """WITH r AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS dt, avg(l_discount)::FLOAT::DOUBLE AS y2, avg(l_tax)::FLOAT::DOUBLE AS y10, avg(l_extendedprice)::FLOAT::DOUBLE AS y30 FROM lineitem GROUP BY 1),
 u AS (SELECT dt, 'Y2' AS ticker, y2 AS y FROM r UNION ALL SELECT dt, 'Y10', y10 FROM r UNION ALL SELECT dt, 'Y30', y30 FROM r)
 SELECT dt, ticker, y AS open, y AS high, y AS low, y AS close, CAST(NULL AS BIGINT) AS volume FROM u WHERE y IS NOT NULL""",
 )
 def yield_unpivot(spark, sf):
-    rates = derived.table(spark, sf, "lineitem").groupBy(F.trunc("l_shipdate", "week").alias("dt")).agg(F.round(F.avg("l_discount"), 6).alias("year2"), F.round(F.avg("l_tax"), 6).alias("year10"), F.round(F.avg("l_extendedprice"), 4).alias("year30"))
+    rates = derived.table(spark, sf, "lineitem").groupBy(F.trunc("l_shipdate", "week").alias("dt")).agg(F.avg("l_discount").alias("year2"), F.avg("l_tax").alias("year10"), F.avg("l_extendedprice").alias("year30"))
+    rates = single(single(single(rates, "year2"), "year10"), "year30")
     return market.yields_as_bars(rates, {"year2": "Y2", "year10": "Y10", "year30": "Y30"})
 
 
@@ -34,11 +40,11 @@ def era_date(spark, sf):
     return spark.createDataFrame([(x,) for x in ERA_DATES], "era string").select("era", readers.era_date(F.col("era")).alias("dt"))
 
 
-@query("market_transpose", f"WITH {sql.SERIES} SELECT year(dt) AS year, dt, ticker, round(close, 6) AS close, volume FROM series")
+@query("market_transpose", f"WITH {sql.SERIES} SELECT year(dt) AS year, dt, ticker, close::FLOAT::DOUBLE AS close, volume FROM series")
 def market_transpose(spark, sf):
     days = market.by_date(sectors(spark, sf), ["close", "volume"])
     rows = days.select("year", "dt", F.explode("bars").alias("ticker", "bar"))
-    return rounded(rows.select("year", "dt", "ticker", "bar.close", "bar.volume"), "close")
+    return single(rows.select("year", "dt", "ticker", "bar.close", "bar.volume"), "close")
 
 
 @query("market_year_documents", f"WITH {sql.SERIES} SELECT year(dt) AS year, count(DISTINCT ticker) AS tickers, count(DISTINCT dt) AS dates, count(*) AS bars FROM series GROUP BY 1")
@@ -53,9 +59,9 @@ def series_ratio(spark, sf):
     return rounded(market.ratio(sectors(spark, sf), "ASIA", "EUROPE"), "value")
 
 
-@query("series_spread", f"WITH {sql.SERIES} SELECT a.dt, round(a.close - b.close, 6) AS value FROM series a JOIN series b USING (dt) WHERE a.ticker = 'ASIA' AND b.ticker = 'AMERICA'")
+@query("series_spread", f"WITH {sql.SERIES} SELECT a.dt, (a.close - b.close)::FLOAT::DOUBLE AS value FROM series a JOIN series b USING (dt) WHERE a.ticker = 'ASIA' AND b.ticker = 'AMERICA'")
 def series_spread(spark, sf):
-    return rounded(market.ratio(sectors(spark, sf), "ASIA", "AMERICA", difference=True), "value")
+    return single(market.ratio(sectors(spark, sf), "ASIA", "AMERICA", difference=True), "value")
 
 
 _LISTED = "listed AS (SELECT DISTINCT r_name AS ticker FROM region UNION ALL SELECT 'NOWHERE')"
