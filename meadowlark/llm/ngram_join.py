@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     left = map_arrow(tiles.repartition(*KEY).sortWithinPartitions(*KEY, "rep"), surviving, "key long, low int, high int, rep long, partners array<long>")
 
     whole = docs.select(col(doc_id).cast("long").alias("rep"), col(text).alias("text"))
-    fetched = staged(left, "pairs").join(whole, "rep").select(*KEY, "rep", "partners", "text")
+    # the pairs grow with the documents: at every size a merge of two shuffled sides
+    fetched = staged(left, "pairs").hint("merge").join(whole, "rep").select(*KEY, "rep", "partners", "text")
     stars = staged(map_arrow(fetched.repartition(*KEY).sortWithinPartitions(*KEY, "rep"), verified, "rep long, root long, links long"), "stars")
 
     links = stars.groupBy("rep").agg(F.sum("links").alias("links"))
