@@ -31,7 +31,7 @@ PATTERN = {
     "ip": r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b",
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
 }
 CONTEXT = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, pii, suffix_dedup, token_counts, warc_revisit
+from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, oracles, pii, suffix_dedup, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,4 +70,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc_revisits": warc_revisit.ORACLE}
+    return dict(oracles.SQL)
