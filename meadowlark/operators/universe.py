@@ -108,3 +108,11 @@ def classified(listing: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     """The n most frequent values; ties by value."""
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(n)
+
+
+def known_only(all_names: Sequence[str], only: Sequence[str] | None) -> list[str]:
+    """The names asked for, in their order; an unknown one is an error."""
+    unknown = sorted(set(only or []) - set(all_names))
+    if unknown:
+        raise ValueError(f"unknown names: {', '.join(unknown)}")
+    return [n for n in all_names if only is None or n in only]

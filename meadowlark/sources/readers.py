@@ -113,3 +113,39 @@ def date_chunks(spark: SparkSession, start: str, end: str, days: int = 55) -> Da
     """(chunk_start, chunk_end): a range cut for a source that serves ``days`` days at a time."""
     starts = spark.range(1).select(F.explode(F.expr(f"sequence(date'{start}', date'{end}', interval {days + 1} days)")).alias("chunk_start"))
     return starts.select("chunk_start", F.least(F.date_add("chunk_start", days), F.lit(end).cast("date")).alias("chunk_end"))
+
+
+def market_year(spark: SparkSession, path: str) -> DataFrame:
+    """(year, ticker, dt, o, h, l, c, volume) of year documents date -> ticker -> bar."""
+    docs = spark.read.schema(schemas.MARKET_YEAR).option("multiLine", True).json(path)
+    days = docs.select("year", F.explode("data").alias("day", "bars")).select("year", "day", F.explode("bars").alias("ticker", "bar"))
+    return days.select("year", "ticker", F.to_date("day").alias("dt"), "bar.open", "bar.high", "bar.low", "bar.close", "bar.volume")
+
+
+def children(keys: DataFrame, prefix: str) -> DataFrame:
+    """The distinct names right under a prefix (years, say)."""
+    rest = F.substr("key", F.lit(len(prefix) + 1))
+    return keys.where(F.col("key").startswith(prefix)).select(F.split(rest, "/")[0].alias("child")).distinct()
+
+
+def years_by_symbol(keys: DataFrame) -> DataFrame:
+    """(symbol, years): which year documents each symbol has, from one pass over the keys."""
+    from meadowlark.functions.scalars import year_of_key
+
+    symbol = F.regexp_extract("key", r"([^/]+)\.json$", 1)
+    return keys.select(symbol.alias("symbol"), year_of_key(F.col("key")).alias("year")).where("symbol <> '' and year is not null").groupBy("symbol").agg(F.array_sort(F.collect_set("year")).alias("years"))
+
+
+def read_or_build(read, build) -> DataFrame:
+    """What is there already, else what ``build`` makes of it: a stage that a rerun takes up again."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return read()
+    except AnalysisException:
+        return build()
+
+
+def unique_bars(bars: DataFrame, order: str) -> DataFrame:
+    """One bar per symbol and time; of repeats the first by ``order``."""
+    return first_rows(bars, ["symbol", "ts"], [F.asc(order)])
