@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def percentile(df: DataFrame, value: str, by: list[str], out: str) -> DataFrame:
-    """Adds ``out``: rank (ties share their average) over the count of values, times 98, plus 1. Nulls
-    get null and don't count. The window by (by, value) needs no exchange of its own: rows with equal
-    ``by`` lie together already."""
-    whole = Window.partitionBy(*by)
-    low = F.rank().over(whole.orderBy(F.col(value).asc_nulls_last()))
-    ties = F.count("*").over(Window.partitionBy(*by, value))
-    share = (low + (ties - 1) / 2) / F.count(value).over(whole)
-    return df.withColumn(out, F.when(F.col(value).isNotNull(), share * 98 + 1))
+def percentile(df: DataFrame, value: str, by: list[str], out: str, rank: str | None = None) -> DataFrame:
+    """Adds ``out``: rank (ties share their average) over the count of values, times 98, plus 1; and, if
+    named, ``rank``: 1 + how many values are larger. Nulls get null and don't count.
+
+    One sort serves all: with peers in the frame, the running count is the last rank among equals."""
+    order = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_last())
+    n = F.count(value).over(Window.partitionBy(*by))
+    ranked = df.withColumns({"_low": F.rank().over(order), "_high": F.count(value).over(order.rangeBetween(Window.unboundedPreceding, 0)), "_n": n})
+    known = F.col(value).isNotNull()
+    new = {out: F.when(known, (F.col("_low") + F.col("_high")) / 2 / F.col("_n") * 98 + 1)}
+    if rank:
+        new[rank] = F.when(known, F.col("_n") - F.col("_high") + 1)
+    return ranked.withColumns(new).drop("_low", "_high", "_n")
 
 
 def competition_rank(value: str, by: list[str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meadowlark.operators import panel
-from meadowlark.operators.rank import competition_rank, percentile
+from meadowlark.operators.rank import percentile
 
 #: Lookbacks in calendar positions and their weights (fixed values).
 LEGS = {63: 0.4, 126: 0.2, 189: 0.2, 252: 0.2}
@@ -24,8 +24,8 @@ def raw(bars: DataFrame, min_days: int = MIN_DAYS, calendar: str = "eligible") -
 
 def individual(bars: DataFrame, **options) -> DataFrame:
     """(symbol, dt, rs_percentile, rank) where there is a score."""
-    scored = percentile(raw(bars, **options).where("rs_raw is not null"), "rs_raw", ["dt"], "rs_percentile")
-    return scored.select("symbol", "dt", "rs_percentile", competition_rank("rs_percentile", ["dt"]).alias("rank"))
+    scored = percentile(raw(bars, **options).where("rs_raw is not null"), "rs_raw", ["dt"], "rs_percentile", "rank")
+    return scored.select("symbol", "dt", "rs_percentile", "rank")
 
 
 def decorated(scores: DataFrame, dim: DataFrame) -> DataFrame:
@@ -76,9 +76,8 @@ def group(scores: DataFrame, members: DataFrame, weight: DataFrame, by: str, dig
     rounds the means before ranking, so that the order of a sum can't decide a tie."""
     means = group_raw(scores, members, weight, by)
     means = means.withColumn("group_raw", F.round("group_raw", digits)) if digits is not None else means
-    scored = percentile(means.where("group_raw is not null"), "group_raw", ["dt"], "rs_percentile")
-    ranked = scored.select(by, "dt", "rs_percentile", competition_rank("rs_percentile", ["dt"]).alias("rank"))
-    return ranked.join(F.broadcast(member_count(members, by)), by)
+    scored = percentile(means.where("group_raw is not null"), "group_raw", ["dt"], "rs_percentile", "rank")
+    return scored.select(by, "dt", "rs_percentile", "rank").join(F.broadcast(member_count(members, by)), by)
 
 
 def day_summary(scores: DataFrame, members: DataFrame, sectors: DataFrame, industries: DataFrame) -> DataFrame:
