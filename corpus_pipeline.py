@@ -12,7 +12,7 @@ from meadowlark.llm.common import staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose largest language has a smaller share is rejected as a jumble.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

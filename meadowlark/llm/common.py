@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="meadowlark-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")

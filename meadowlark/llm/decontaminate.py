@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from meadowlark.llm.common import add_by_rows, col, ship
 
 RATE = 0.08
-BLOCK = 8_000_000
+BLOCK = 1_000_000
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType())]))
 
 

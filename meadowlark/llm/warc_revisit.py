@@ -12,8 +12,8 @@ pass through the windows; headers are joined once the match is known.
 
 Nulls: without a URL, a time or an earlier response a revisit has the outcome ``unresolved``; a response
 without an id or a time can't be a target. A validator that the revisit lacks isn't checked; with
-neither it is ``unvalidated``. Of responses with equal times the largest id counts; repeated rows
-give repeated results; an empty table gives an empty one. Only the named columns are read.
+neither it is ``unvalidated``. Of responses with equal times the largest id counts; of records
+that share an id the headers that sort first; repeated rows give repeated results; an empty table gives an empty one. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -76,9 +76,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         .otherwise("unvalidated")
     )
     found = matched.select("record_id", "canonical_url", F.col("target.record_id").alias("target_id"), outcome.alias("outcome"))
-    own = records.where("type = 'revisit'").select(F.col("record_id").alias("own_id"), F.col("headers").alias("own")).dropDuplicates(["own_id"])
-    old = records.where("type = 'response'").select(F.col("record_id").alias("old_id"), F.col("headers").alias("old")).dropDuplicates(["old_id"])
-    joined = found.join(own, F.col("record_id").eqNullSafe(F.col("own_id")), "left").join(old, F.col("target_id") == F.col("old_id"), "left")
+    order = F.to_json(F.array_sort(F.map_entries("headers")))
+    kept = lambda kind, name: records.where(F.col("type") == kind).groupBy(F.col("record_id").alias(f"{name}_id")).agg(F.min_by("headers", order).alias(name))
+    joined = found.join(kept("revisit", "own"), F.col("record_id").eqNullSafe(F.col("own_id")), "left")
+    # only resolved rows look up their response: the others' missing ids would all meet in one task
+    old = kept("response", "old").where("old_id is not null")
+    resolved = joined.where("outcome = 'resolved'").join(old, F.col("target_id") == F.col("old_id"), "left").drop("old_id")
+    joined = resolved.unionByName(joined.where("outcome <> 'resolved'"), allowMissingColumns=True)
     news = permitted(F.coalesce("own", F.create_map().cast("map<string,string>")))
     base = F.transform_keys(F.coalesce("old", F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
     merged = F.map_concat(F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(news), k)), news)
