@@ -94,7 +94,9 @@ def era_date(text: Column) -> Column:
 def government_bonds(spark: SparkSession, path: str, tenor: str = "10年") -> DataFrame:
     """(dt, yield) of one tenor from the ministry's CSV: Shift-JIS, a title line, a header, era dates,
     ``-`` for missing. Files are small and read whole, so that the header names the column."""
-    whole = spark.read.format("binaryFile").load(path).select(F.decode("content", "windows-31j").alias("text"))
+    # Spark's own decoders don't know Shift-JIS
+    decoded = F.udf(lambda raw: raw.decode("cp932", "replace"), "string")
+    whole = spark.read.format("binaryFile").load(path).select(decoded("content").alias("text"))
     lines = whole.select(F.split("text", r"\r?\n").alias("lines"))
     place = F.array_position(F.split(F.col("lines")[1], ","), tenor)
     rows = lines.select(place.alias("place"), F.explode(F.slice("lines", F.lit(3), F.greatest(F.size("lines") - 2, F.lit(0)))).alias("line"))

@@ -187,3 +187,37 @@ def test_guard():
         from meadowlark.operators import rs
 
         rs.weights(None, "x")
+
+
+def test_listings_and_fallbacks(spark, tmp_path):
+    keys = spark.createDataFrame([("core/2023/A.json", 1), ("core/2024/A.json", 1), ("core/2024/B.json", 1), ("meta/x.csv", 1)], schemas.KEYS)
+    assert {r.child for r in readers.children(keys, "core/").collect()} == {"2023", "2024"}
+    assert {r.symbol: r.years for r in readers.years_by_symbol(keys).collect()} == {"A": [2023, 2024], "B": [2024]}
+    path = str(tmp_path / "cache")
+    made = readers.read_or_build(lambda: spark.read.parquet(path), lambda: keys)
+    assert made.count() == 4
+    keys.limit(1).write.parquet(path)
+    assert readers.read_or_build(lambda: spark.read.parquet(path), lambda: keys).count() == 1
+    (tmp_path / "y.json").write_text('{"year": 2024, "tickers": ["V"], "data": {"2024-01-02": {"V": {"close": 2.5}}}}')
+    y = readers.market_year(spark, str(tmp_path / "y.json")).first()
+    assert (y.year, y.ticker, y.dt, y.close, y.open) == (2024, "V", d(2024, 1, 2), 2.5, None)
+    bars = spark.createDataFrame([("a", 1, 0, "x"), ("a", 1, 1, "y"), ("b", 1, 0, "z")], "symbol string, ts int, n int, v string")
+    assert {r.symbol: r.v for r in readers.unique_bars(bars, "n").collect()} == {"a": "x", "b": "z"}
+    assert universe.known_only(["a", "b"], ["b"]) == ["b"] and universe.known_only(["a"], None) == ["a"]
+    with pytest.raises(ValueError):
+        universe.known_only(["a"], ["z"])
+
+
+def test_segments(spark):
+    rows = [("1", "プライム（内国株式）", "S", "I", 0), ("1", "グロース（内国株式）", "S", "I", 1), ("2", "ETF", "S", "I", 2), ("3", "プライム（内国株式）", "-", "I", 3)]
+    out = universe.classified(spark.createDataFrame(rows, "symbol string, segment string, sector string, industry string, line int"))
+    assert [(r.symbol, r.market) for r in out.collect()] == [("1", "Prime")]
+
+
+def test_month_documents_and_metadata(spark):
+    bars = spark.createDataFrame([("a", dt.datetime(2024, 3, 1, 3, 0), 1.0), ("a", dt.datetime(2024, 3, 1, 15, 0), 2.0)], "symbol string, ts timestamp, close double")
+    dim = spark.createDataFrame([("a", "A")], "symbol string, name string")
+    docs = {r.month: r for r in publish.month_documents(bars, dim).collect()}
+    assert set(docs) == {"02", "03"} and docs["02"].data[0]["local"] == dt.datetime(2024, 2, 29, 22, 0)  # New York's wall clock
+    scores = spark.createDataFrame([("a", d(2024, 1, 1)), ("b", d(2024, 1, 3))], "symbol string, dt date")
+    assert tuple(publish.metadata(scores).first()) == (d(2024, 1, 1), d(2024, 1, 3), 2, 2, 1000)
