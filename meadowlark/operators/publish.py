@@ -16,7 +16,7 @@ def core_rows(bars: DataFrame, scores: DataFrame) -> DataFrame:
 def documents(rows: DataFrame, dim: DataFrame, keys: dict[str, Column], fields: list[str], order: str = "dt") -> DataFrame:
     """One document per symbol and key (a year, a month): its metadata and its rows by date. Only symbols
     of ``dim`` have one; a document is as long as its period."""
-    known = rows.join(F.broadcast(dim), "symbol").withColumns(keys)
+    known = rows.join(dim, "symbol").withColumns(keys)
     ordered = F.array_sort(F.collect_list(F.struct(order, *fields)))
     return known.groupBy(*keys, "symbol", *[c for c in dim.columns if c != "symbol"]).agg(ordered.alias("data"))
 

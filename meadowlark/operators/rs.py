@@ -77,7 +77,7 @@ def group(scores: DataFrame, members: DataFrame, weight: DataFrame, by: str, dig
     means = group_raw(scores, members, weight, by)
     means = means.withColumn("group_raw", F.round("group_raw", digits)) if digits is not None else means
     scored = percentile(means.where("group_raw is not null"), "group_raw", ["dt"], "rs_percentile", "rank")
-    return scored.select(by, "dt", "rs_percentile", "rank").join(F.broadcast(member_count(members, by)), by)
+    return scored.select(by, "dt", "rs_percentile", "rank").join(member_count(members, by), by)
 
 
 def day_summary(scores: DataFrame, members: DataFrame, sectors: DataFrame, industries: DataFrame) -> DataFrame:

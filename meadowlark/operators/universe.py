@@ -92,7 +92,7 @@ def guaranteed(spark: SparkSession, names: dict[str, str] = GUARANTEED) -> DataF
 
 def inject(universe: DataFrame, rows: DataFrame) -> DataFrame:
     """The universe with ``rows`` in place of its own rows of the same symbols; columns that they lack are null."""
-    return universe.join(F.broadcast(rows.select("symbol")), "symbol", "left_anti").unionByName(rows, allowMissingColumns=True)
+    return universe.join(rows.select("symbol"), "symbol", "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
 def classified(listing: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def _group(by: str, weight: str):
         bars = bars_of(spark, sf)
         out = rs.group(rs.individual(bars), derived.dim(spark, sf), rs.weights(bars, weight), by, 6)
         if by == "industry":
-            out = out.join(F.broadcast(rs.first_sector(derived.dim(spark, sf))), "industry")
+            out = out.join(rs.first_sector(derived.dim(spark, sf)), "industry")
         return rounded(out, "rs_percentile")
 
     return build

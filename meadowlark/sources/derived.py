@@ -40,7 +40,7 @@ def bars_5min(events: DataFrame) -> DataFrame:
 
 def sector_series(bars: DataFrame, dim: DataFrame) -> DataFrame:
     """(ticker, dt, close, volume): each sector's volume-weighted price by week, as macro series."""
-    rows = bars.join(F.broadcast(dim.select("symbol", "sector")), "symbol")
+    rows = bars.join(dim.select("symbol", "sector"), "symbol")
     return rows.groupBy(F.col("sector").alias("ticker"), "dt").agg((F.sum(F.col("close") * F.col("volume")) / F.sum("volume")).alias("close"), F.sum("volume").alias("volume"))
 
 
