@@ -11,7 +11,7 @@ Finds the passages of at least 50 words that occur in two or more different docu
    left give the windows they share.
 4. In runs of three or more, a window may equal one further off, which sorting by the right side alone
    doesn't bring near. For runs with windows left open, the windows' hashes are matched within the
-   run; runs of more than ``RUN`` suffixes are dealt out by document, and windows still open after that
+   run; runs of more than ``RUN`` suffixes are dealt out in parts, and windows still open after that
    are matched between the parts by a grouped minimum and maximum of the ids.
 
 Equal texts are one representative throughout; all of a repeated text is a repeated passage.
@@ -177,7 +177,7 @@ _WEIGHT = np.random.default_rng(11).integers(1, 2**63, (2, LEAST), dtype=np.uint
 
 def run_windows(rep, place, near, far, right, left, open_, parts):
     """All windows of one run, matched by hash: the open ones that another document shares, as covered
-    stretches; and, if the run has other parts, a row for each open window and for one of each matched kind."""
+    stretches; and, if the run has other parts, a row for each open window and two for each matched kind."""
     zero = np.zeros((len(rep), 1), np.uint64)
     to_right = np.concatenate([zero, np.cumsum(right.astype(np.uint64) * _WEIGHT[0], axis=1, dtype=np.uint64)], axis=1)
     to_left = np.concatenate([zero, np.cumsum(left.astype(np.uint64) * _WEIGHT[1][: REACH - 1], axis=1, dtype=np.uint64)], axis=1)
@@ -194,9 +194,10 @@ def run_windows(rep, place, near, far, right, left, open_, parts):
     covered = rep[row[new]], start[new], start[new] + LEAST
     rest: list[tuple] = []
     if parts > 1:
-        _, one = np.unique(at, return_index=True)
-        told = np.flatnonzero(~shared | np.isin(np.arange(len(row)), one))
-        rest = [(int(rep[row[t]]), int(start[t]), int(start[t]) + LEAST, int(window[t].view(np.int64)), bool(shared[t])) for t in told]
+        hashed, first = window.view(np.int64), start.astype(int)
+        rest = [(int(rep[row[t]]), int(first[t]), int(first[t]) + LEAST, int(hashed[t]), False) for t in np.flatnonzero(~shared)]
+        for k in np.flatnonzero(low < high):  # matched here: its two outer documents stand for it
+            rest += [(int(x), 0, 0, int(kinds[k].view(np.int64)), True) for x in (low[k], high[k])]
     return covered, rest
 
 
@@ -207,13 +208,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     seen = staged(scanned(rows).where("doc_id is not null and n_words >= 50"), "scanned")
     reps = staged(seen.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("keys").alias("keys")), "texts")
 
+    # a run's size is its suffixes, several of one text too; it matters if it has two texts
+    suffix = reps.select("rep", F.explode("keys").alias("key"))
+    shared = suffix.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "size")
     keys = reps.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     kept = keys.join(shared, "key").groupBy("rep").agg(F.collect_list(F.struct("key", "size")).alias("kept"))
     fetched = kept.join(rows.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "text", "kept")
     suffixes = map_arrow(fetched, contexts, "key long, size long, rep long, place int, near int, far int, right binary, left binary")
     parts = F.ceil(F.col("size") / RUN).cast("int")
-    dealt = suffixes.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("size")
+    dealt = suffixes.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", "place"), F.col("parts")).cast("int")).drop("size")
     ordered = dealt.repartition(*KEY).sortWithinPartitions(*KEY, "right", "rep")
     told = staged(map_arrow(ordered, compared, FOUND), "stretches")
 
