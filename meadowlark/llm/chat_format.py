@@ -88,6 +88,16 @@ def format_turns(turns: DataFrame, vocabulary: bytes | None = None, *, conv_id:
     return map_arrow(rows, run, FORMATTED)
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, turn, role, ids, loss) with both lists as bytes for a shuffle: two bytes a token
+    (big-endian, so that bytes sort as ids do) and a bit a mask."""
+    for batch in batches:
+        ids, loss = batch.column(3), batch.column(4)
+        as_bytes = [ids[i].values.to_numpy().astype(">u2").tobytes() for i in range(batch.num_rows)]
+        as_bits = [np.packbits(loss[i].values.to_numpy().view(np.uint8)).tobytes() for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(as_bytes, pa.binary()), pa.array(as_bits, pa.binary())], ["conv_id", "turn", "role", "ids", "loss"])
+
+
 def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFrame:
     """One row per conversation, from its tokens alone: the digests of the turns and of what is under
     the loss mask, and the length of the written form. Turns pass one by one, so a conversation of any
@@ -106,15 +116,15 @@ def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFram
 
         for batch in batches:
             for part in slices(batch, 1 << 20):
-                ids, loss = part.column(1), part.column(2)
-                for i, conv in enumerate(part.column(0).to_pylist()):
+                for conv, raw, bits in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     if state is None or conv != key:
                         done += [closed()] if state else []
                         key, state = conv, (0, hashlib.sha256(), hashlib.sha256(), 0, 0)
-                    own = ids[i].values.to_numpy()
+                    own = np.frombuffer(raw, ">u2")
+                    mask = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own))
                     body = int(np.flatnonzero(own == BODY)[0])
                     role, text = string(own[1:body].tolist()), string(own[body + 1 : -1].tolist())
-                    learned = unescape(string(own[loss[i].values.to_numpy() == 1].tolist()))
+                    learned = unescape(string(own[mask == 1].tolist()))
                     n, a, b, chars, length = state
                     a.update(f"{unescape_role(role)}\n{unescape(text)}\n".encode("utf-8", "surrogatepass"))
                     b.update(learned.encode("utf-8", "surrogatepass"))
@@ -130,7 +140,8 @@ def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFram
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").select("conv_id", "ids", "loss")
+    small = map_arrow(formatted.select("conv_id", "turn", "role", "ids", "loss"), packed, "conv_id long, turn long, role string, ids binary, loss binary")
+    ordered = small.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").select("conv_id", "ids", "loss")
     return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

@@ -125,28 +125,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes of text that are hashed at once: the arrays take some 40 times as much.
+_AT_ONCE = 2 << 20
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words (as ``str.split()`` finds them) of all texts in a row, and the
     offsets of each text's words: text i has hashes[offsets[i]:offsets[i + 1]]."""
-    raw = "\n".join(" ".join(t.split()) if t else "" for t in texts).encode("utf-8", "surrogatepass")
-    offsets = np.zeros(len(texts) + 1, np.int64)
-    data = np.frombuffer(raw, np.uint8)
-    gap = (data == 32) | (data == 10)
-    inside = np.flatnonzero(~gap)
+    raw = b"\n".join(" ".join(t.split()).encode("utf-8", "surrogatepass") if t else b"" for t in texts)
+    found, counts, at = [], [], 0
+    while at <= len(raw):
+        stop = len(raw) if len(raw) - at <= _AT_ONCE else max(raw.rfind(b" ", at, at + _AT_ONCE), raw.rfind(b"\n", at, at + _AT_ONCE))
+        if stop < at:  # a word longer than that
+            ends = [x for x in (raw.find(b" ", at), raw.find(b"\n", at)) if x >= 0]
+            stop = min(ends, default=len(raw))
+        data = np.frombuffer(raw, np.uint8, stop - at, at)
+        hashes, starts = _hashes(data)
+        found.append(hashes)
+        breaks = np.flatnonzero(data == 10)
+        # of each text that ends in this piece, and of the one that goes on
+        here = np.diff(np.searchsorted(starts, breaks), prepend=0, append=len(hashes))
+        here[-1] = len(hashes) - here[:-1].sum()
+        if counts:
+            counts[-1] += int(here[0])
+            counts += here[1:].tolist()
+        else:
+            counts = here.tolist()
+        if stop < len(raw) and raw[stop] == 10:
+            counts.append(0)
+        at = stop + 1
+    return np.concatenate(found), np.concatenate([[0], np.cumsum(counts[: len(texts)] if texts else [], dtype=np.int64)]).astype(np.int64)
+
+
+def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in bytes, and where they start."""
+    inside = np.flatnonzero((data != 32) & (data != 10))
     if not len(inside):
-        return np.zeros(0, np.uint64), offsets
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first = np.empty(len(inside), bool)
     first[0] = True
     np.not_equal(np.diff(inside), 1, out=first[1:])
-    starts = np.flatnonzero(first)  # of words, in `inside`
+    starts = np.flatnonzero(first)
     lengths = np.diff(np.append(starts, len(inside)))
-    at = np.arange(len(inside)) - np.repeat(starts, lengths)
+    place = np.arange(len(inside)) - np.repeat(starts, lengths)
     value = _BYTE[data[inside]]
-    value *= _POWERS[at & 511] + (at >> 9).astype(np.uint64) * _STEP if int(lengths.max()) > 512 else _POWERS[at]
-    hashes = mix(np.add.reduceat(value, starts) + lengths.astype(np.uint64) * _STEP)
-    ends = np.append(np.flatnonzero(data == 10), len(data))  # of texts
-    offsets[1:] = np.searchsorted(inside[starts], ends)
-    return hashes, offsets
+    value *= _POWERS[place & 511] + (place >> 9).astype(np.uint64) * _STEP if int(lengths.max()) > 512 else _POWERS[place]
+    return mix(np.add.reduceat(value, starts) + lengths.astype(np.uint64) * _STEP), inside[starts]
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -168,12 +168,14 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     if len(left) < 4 * len(sets):
         return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(left, right, strict=True)], np.int64)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    order, at = np.unique(np.concatenate(sets), return_inverse=True)
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    row, at = row[order], np.cumsum(np.concatenate([[0], np.diff(values[order]) != 0]))
     both = np.zeros((len(sets), len(sets)))
-    for s in range(0, len(order), 4096):
-        here = (at >= s) & (at < s + 4096)
-        some = np.zeros((len(sets), min(4096, len(order) - s)), np.float32)
-        some[row[here], at[here] - s] = 1
+    for low in range(0, int(at[-1]) + 1, 4096):  # of all shingles, so many at a time
+        a, b = np.searchsorted(at, (low, low + 4096))
+        some = np.zeros((len(sets), 4096), np.float32)
+        some[row[a:b], at[a:b] - low] = 1
         both += some @ some.T
     return both[left, right].astype(np.int64)
 
@@ -205,8 +207,7 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not pairs:
                 continue
             left, right = np.array(pairs).T
-            grams, starts = shingles(*word_hashes([texts[s + f] for f in first]))
-            sets = [np.unique(grams[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            sets = [np.unique(shingles(*word_hashes([texts[s + f]]))[0]) for f in first]
             size = np.array([len(x) for x in sets])
             both = overlaps(sets, left, right)
             good = (both > 0) & (both * THRESHOLD.denominator >= (size[left] + size[right] - both) * THRESHOLD.numerator)
