@@ -72,27 +72,32 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def extended(df: DataFrame, keep: list[str], new: list[T.StructField]) -> T.StructType:
-    by = {f.name: f for f in df.schema.fields}
-    return T.StructType([by[c] for c in keep] + new)
+def place_of(df: DataFrame, name: str) -> int:
+    """A column's position by its exact name, else by the name in any case."""
+    for same in (lambda c: c == name, lambda c: c.lower() == name.lower()):
+        if found := [i for i, c in enumerate(df.columns) if same(c)]:
+            return found[0]
+    raise ValueError(f"no column {name!r} among {df.columns}")
 
 
 def add_by_rows(df: DataFrame, reads: list[str], new: list[T.StructField], rows, piece: int = 4 << 20) -> DataFrame:
     """``df`` with columns that ``rows(list per column in reads) -> list per new column`` makes from
-    a few rows at a time, in tasks, by Arrow. A slice has about ``piece`` bytes of input or one row."""
-    keep = without(df, [f.name for f in new])
-    schema = extended(df, keep, new)
+    a few rows at a time, in tasks, by Arrow. A slice has about ``piece`` bytes of input or one row.
+    Columns go by position inside, so that their names can be any."""
+    taken = {f.name.lower() for f in new}
+    keep = [i for i, c in enumerate(df.columns) if c.lower() not in taken]
+    places = [place_of(df, c) for c in reads]
+    schema = T.StructType([df.schema.fields[i] for i in keep] + new)
     kinds = [pa_type(f.dataType) for f in new]
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, piece):
-                made = rows(*[part.column(part.schema.get_field_index(c)).to_pylist() for c in reads])
-                columns = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(v, k) for v, k in zip(made, kinds, strict=True)]], names)
+                made = rows(*[part.column(i).to_pylist() for i in places])
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], *[pa.array(v, k) for v, k in zip(made, kinds, strict=True)]], names)
 
-    return map_arrow(df, run, schema)
+    return map_arrow(df.toDF(*[f"c{i}" for i in range(len(df.columns))]), run, schema)
 
 
 def slices(batch: pa.RecordBatch, piece: int) -> Iterator[pa.RecordBatch]:
