@@ -2,9 +2,10 @@
 
 A language model is a table of letter-trigram probabilities over hashed buckets, counted on labelled
 texts. A document is taken as a mixture of languages: expectation-maximisation estimates its
-proportions from its trigrams' likelihoods, and the set of languages is the one (among the best one,
-best two, ... by proportion) whose likelihood, less half the log of the sample size for each further
-language, is highest.
+proportions from its trigrams' likelihoods, first over all learned languages. The languages whose
+removal costs the least likelihood are then removed and the rest fitted again, down to one; the set is
+the one on this way (or the best single language) whose likelihood, less half the log of the sample
+size for each further language, is highest. Nothing else bounds the number of languages of a text.
 
 Texts are lower-cased, everything but letters becomes a single space, and trigrams of their UTF-8
 bytes are counted whole. Neighbouring trigrams overlap in two bytes, so a text's evidence is counted
@@ -33,9 +34,10 @@ BUCKETS = 1 << 13
 MAX_LANGS = 400
 SMOOTH = 0.05
 ROUNDS = 12
-#: Languages that compete within one text, and languages in a chosen set.
-CANDIDATES, MOST = 8, 3
+#: A fit goes on by so many times ROUNDS until it is so near its maximum, unless it tells enough before.
+TRIES, CLOSE = 10, 0.2
 PER_DOC = 96  # rows of counts held at once: 96 x 8192 x 4 bytes
+AT_ONCE = 4 << 20  # likelihoods (trigrams of some texts x languages) held at once, or those of one text
 
 _FOLD = bytes(i if i >= 128 or 97 <= i <= 122 else 32 for i in range(256))
 
@@ -89,44 +91,73 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
     return langs, (counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
-def mixture(n: np.ndarray, given: np.ndarray, ends: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions (texts x languages) within the ``allowed`` languages of each text, by
-    expectation-maximisation, and the log-likelihood. ``n`` and ``given`` have the count and the
-    likelihoods of each trigram of each text, text by text; ``ends`` says where each text's begin."""
+def mixture(n: np.ndarray, given: np.ndarray, ends: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions (texts x languages) by expectation-maximisation from ``share`` on, where 0 stays 0,
+    the likelihood of each trigram, the log-likelihood of each text and how far it can be under its
+    maximum (which is concave, so that its slopes bound it). ``n`` and ``given`` have the
+    count and the likelihoods of each trigram of each text, text by text; ``ends`` says where each
+    text's begin."""
     sizes = np.diff(ends)
     total = np.maximum(np.add.reduceat(n, ends[:-1]), 1)[:, None]
-    share = (allowed / np.maximum(allowed.sum(1, keepdims=True), 1)).astype(np.float32)
     for _ in range(ROUNDS):
         fit = np.einsum("ij,ij->i", np.repeat(share, sizes, axis=0), given)
         share = share * np.add.reduceat(given * (n / np.maximum(fit, 1e-30))[:, None], ends[:-1], axis=0) / total
-    fit = np.einsum("ij,ij->i", np.repeat(share, sizes, axis=0), given)
-    return share, np.add.reduceat(n * np.log(np.maximum(fit, 1e-30)), ends[:-1])
+    fit = np.maximum(np.einsum("ij,ij->i", np.repeat(share, sizes, axis=0), given), 1e-30)
+    slope = np.add.reduceat(given * (n / fit)[:, None], ends[:-1], axis=0, dtype=np.float64) - total
+    return share, fit, np.add.reduceat(n * np.log(fit), ends[:-1], dtype=np.float64), np.where(share > 0, slope, 0).max(1)
+
+
+def losses(n: np.ndarray, part: np.ndarray, ends: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The log-likelihood (texts x columns) lost by taking away each column's part of every trigram's
+    likelihood, and its share, before the rest is fitted again."""
+    gone = np.add.reduceat(n[:, None] * np.log(np.maximum(1 - part, 1e-30)), ends[:-1], axis=0, dtype=np.float64)
+    total = np.add.reduceat(n, ends[:-1], dtype=np.float64)[:, None]
+    return total * np.log(np.maximum(1 - share, 1e-30)) - gone
 
 
 def choose(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     """Proportions of the chosen languages of each text (its counts by bucket); 0 for the rest."""
     counts[counts.sum(1) == 0, 0] = 1  # a text without trigrams; its answer isn't used
-    row, bucket = np.nonzero(counts)
-    n, given = counts[row, bucket], model.T[bucket]
-    ends = np.searchsorted(row, np.arange(len(counts) + 1))
+    size = (counts > 0).sum(1) * len(model)
+    if len(counts) > 1 and size.sum() > AT_ONCE:
+        half = len(counts) // 2
+        return np.concatenate([choose(counts[:half], model), choose(counts[half:], model)])
     alone = counts @ np.log(model).T
-    kept = np.zeros(alone.shape, bool)
-    np.put_along_axis(kept, np.argsort(-alone, axis=1, kind="stable")[:, :CANDIDATES], True, 1)
-    share, _ = mixture(n, given, ends, kept)
-    order = np.argsort(-share, axis=1, kind="stable")
-    best, texts = np.argmax(alone, axis=1), np.arange(len(counts))
-    chosen = np.zeros(share.shape, np.float32)
+    texts, best = np.arange(len(counts)), np.argmax(alone, axis=1)
+    chosen = np.zeros(alone.shape, np.float32)
     chosen[texts, best] = 1
-    value = alone[texts, best] / 3
+    value = alone[texts, best].astype(np.float64) / 3
     penalty = np.log(np.maximum(counts.sum(1) / 3, 2)) / 2
-    for k in range(2, min(MOST, model.shape[0]) + 1):
-        allowed = np.zeros(share.shape, bool)
-        np.put_along_axis(allowed, order[:, :k], True, 1)
-        mixed, fit = mixture(n, given, ends, allowed)
-        fit = fit / 3 - (k - 1) * penalty
-        better = fit > value
-        chosen[better], value = mixed[better], np.maximum(value, fit)
-    return chosen
+    row, bucket = np.nonzero(counts)
+    n, given = counts[row, bucket], model.T[bucket]
+    left, tries = np.ones(alone.shape, bool), np.zeros(len(counts), int)
+    share = np.full(alone.shape, 1 / len(model), np.float32)
+    while True:
+        going = left.sum(1) > 1  # of one language there is nothing to remove
+        if not going.all():
+            some = going[np.searchsorted(texts, row)]
+            texts, left, share, row, n, given = texts[going], left[going], share[going], row[some], n[some], given[some]
+        if not len(texts):
+            return chosen
+        ends = np.append(np.searchsorted(row, texts), len(row))
+        share, fit, likely, under = mixture(n, given, ends, share)
+        now = likely / 3 - (left.sum(1) - 1) * penalty[texts]
+        better = now > value[texts]
+        chosen[texts[better]], value[texts[better]] = share[better], now[better]
+        # by what each one's removal costs (of equals the last by name first), then what the first, first two, ... cost together
+        part = given * np.repeat(share, np.diff(ends), axis=0) / fit[:, None]
+        cost = np.where(left, losses(n, part, ends, share), np.inf)
+        order = left.shape[1] - 1 - np.argsort(cost[:, ::-1], axis=1, kind="stable")
+        part = np.cumsum(np.take_along_axis(part, np.repeat(order, np.diff(ends), axis=0), 1), axis=1)
+        together = losses(n, part, ends, np.cumsum(np.take_along_axis(share, order, 1), axis=1))
+        # as many as cost less than one penalty, which only raises the value; one at least, all but one at most
+        cheap = np.logical_and.accumulate((together + under[:, None]) / 3 < penalty[texts, None], axis=1).sum(1)
+        wait = (cheap == 0) & (under / 3 > CLOSE) & (tries[texts] < TRIES)  # the fit isn't close enough yet to tell
+        tries[texts] = np.where(wait, tries[texts] + 1, 0)
+        gone = (np.arange(left.shape[1]) < np.clip(cheap, 1, left.sum(1) - 1)[:, None]) & ~wait[:, None]
+        np.put_along_axis(left, order, np.take_along_axis(left, order, 1) & ~gone, 1)
+        share = np.where(left, np.maximum(share, 1e-6), 0)
+        share = (share / share.sum(1, keepdims=True)).astype(np.float32)
 
 
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "text") -> DataFrame:

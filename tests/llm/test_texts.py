@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +128,75 @@ def test_languages(spark):
     assert set(parts) == {"aa", "bb"} and 0.3 < float(parts["aa"]) < 0.7
 
 
+def mixed_text(model, shares, n, seed):
+    """Counts of n trigrams drawn from languages by their shares."""
+    rng = np.random.default_rng(seed)
+    return sum(rng.multinomial(int(n * s), model[i] / model[i].sum()) for i, s in shares.items()).astype(np.float32)
+
+
+def relatives(seed, near, far):
+    """Trigram models of ``near`` languages that share most of their trigrams, and of ``far`` ones that share none."""
+    rng = np.random.default_rng(seed)
+    common, models = rng.random(1500) ** 4, []
+    for i in range(near + far):
+        m = np.full(lang_id.BUCKETS, 0.01)
+        if i < near:
+            m[:1500] += 100 * common * rng.uniform(0.2, 1.8, 1500)
+            m[1500 + 60 * i : 1560 + 60 * i] += 20
+        else:
+            m[5000 + 400 * (i - near) : 5400 + 400 * (i - near)] += 100 * rng.random(400)
+        models.append(m / m.sum())
+    return np.array(models, np.float32)
+
+
+def test_second_language_behind_relatives():
+    model = relatives(3, 10, 2)
+    counts = np.array([mixed_text(model, {0: 0.8, 11: 0.2}, 1500, 1), mixed_text(model, {0: 1.0}, 1500, 2), mixed_text(model, {10: 1.0}, 40, 3)])
+    got = lang_id.choose(counts, model.astype(np.float32))
+    assert [set(np.flatnonzero(g >= 0.005)) for g in got] == [{0, 11}, {0}, {10}]
+    assert abs(got[0][11] - 0.2) < 0.03
+
+
+def test_any_number_of_languages():
+    model = relatives(4, 1, 6)
+    wanted = [{1: 0.25, 2: 0.25, 3: 0.25, 4: 0.25}, {i: 1 / 7 for i in range(7)}, {1: 0.7, 2: 0.1, 3: 0.1, 4: 0.05, 6: 0.05}]
+    got = lang_id.choose(np.array([mixed_text(model, w, 3000, i) for i, w in enumerate(wanted)]), model)
+    for g, w in zip(got, wanted, strict=True):
+        assert {i for i in range(7) if g[i] >= 0.005} == set(w) and all(abs(g[i] - s) < 0.02 for i, s in w.items())
+
+
+def test_choice_of_languages_is_the_best_set():
+    """Against all sets of five languages, three of them related; in pieces as in one go."""
+    from itertools import combinations
+
+    model, rng = relatives(5, 3, 2), np.random.default_rng(6)
+    counts = np.array([mixed_text(model, dict(enumerate(rng.dirichlet(np.full(5, 0.4)))), int(rng.integers(20, 2000)), i) + np.eye(1, lang_id.BUCKETS, 7, dtype=np.float32)[0] for i in range(60)])
+
+    def best(c):
+        at = np.flatnonzero(c)
+        n, p, found = c[at].astype(float), model[:, at].astype(float), []
+        for k in range(1, 6):
+            for among in combinations(range(5), k):
+                s = np.full(k, 1 / k)
+                for _ in range(200):
+                    s = s * (p[list(among)] @ (n / (s @ p[list(among)]))) / n.sum()
+                found.append((n @ np.log(s @ p[list(among)]) / 3 - (k - 1) * np.log(max(n.sum() / 3, 2)) / 2, among))
+        return max(found)
+
+    got = lang_id.choose(counts.copy(), model)
+    near = 0
+    for c, g in zip(counts, got, strict=True):
+        among = best(c)[1]
+        near += set(np.flatnonzero(g >= 0.005)) == set(among)
+    assert near == len(counts)
+    lang_id_pieces = lang_id.AT_ONCE
+    try:
+        lang_id.AT_ONCE = 1000
+        assert np.allclose(lang_id.choose(counts.copy(), model), got, atol=1e-4)
+    finally:
+        lang_id.AT_ONCE = lang_id_pieces
+
+
 def test_languages_without_training(spark):
     df = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     langs, model = lang_id.train(df)
