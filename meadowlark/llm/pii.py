@@ -9,6 +9,9 @@ can't overflow the stack.
 Kinds, in order: ``email``, ``ip`` (parts at most 255), ``card`` (12 to 19 digits, Luhn), ``phone``
 (9 to 15 digits); these base spans always stay. The method adds ``iban`` (mod-97) and ``ssn``; they
 stay if their score, raised by context words up to 48 characters before or after, reaches 0.5.
+What follows an account number often reads on like it ("BIC", "EUR 250", another one), so an ``iban``
+may start at each place where the pattern can, and ends where its country's length does, or after the
+whole run; a country whose length isn't known ends after any group of the run, the longest that passes.
 
 Nulls: a null text counts as empty and has no spans; ``masked`` keeps it null. Rows are handled one
 by one, so repeated rows, ties and empty tables need no rule; spans of several kinds may overlap.
@@ -34,6 +37,29 @@ PATTERN = {
     "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b",
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
 }
+#: Where an account number may start, and (as a group) the rest of its run and the sign after it.
+IBAN = r"\b[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}[\s\S]?))"
+#: Signs of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
 CONTEXT = {
     "email": r"e-?mail|contact|write to|@",
     "ip": r"\bip\b|address|host|server",
@@ -97,6 +123,29 @@ def matches(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(_EMPTY).alias("out")), step, lambda x: x["out"])
 
 
+def account_numbers(text: Column) -> Column:
+    """Confirmed account numbers that don't overlap: start, end (exclusive) in code points, value."""
+    heads = F.arrays_zip(matches(text, IBAN).alias("head"), F.regexp_extract_all(text, F.lit(IBAN), F.lit(1)).alias("rest"))
+    length = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
+
+    def value(x: Column) -> Column:
+        run = F.concat(x["head"]["value"], x["rest"])
+        known = F.try_element_at(length, F.substring(run, 1, 2))
+        ends = {n: F.regexp_extract(run, rf"^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}\b", 0) for n in range(34, 14, -1)}
+        longest = F.regexp_extract(run, r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", 0)
+        own = F.array(F.coalesce(*[F.when(known == n, end) for n, end in ends.items()], F.lit("")), longest)
+        passing = F.filter(F.when(known.isNull(), F.array(*ends.values())).otherwise(own), lambda v: (v != "") & confirmed("iban", v))
+        return F.struct(x["head"]["start"].alias("start"), F.try_element_at(passing, F.lit(1)).alias("value"))
+
+    def step(so_far: Column, x: Column) -> Column:
+        fresh = x["value"].isNotNull() & (x["start"] >= so_far["at"])
+        end = x["start"] + F.length(x["value"])
+        grown = F.concat(so_far["out"], F.array(F.struct(x["start"].alias("start"), end.alias("end"), x["value"].alias("value"))))
+        return F.struct(F.when(fresh, end).otherwise(so_far["at"]).alias("at"), F.when(fresh, grown).otherwise(so_far["out"]).alias("out"))
+
+    return F.aggregate(F.transform(heads, value), F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(_EMPTY).alias("out")), step, lambda x: x["out"])
+
+
 def scored(text: Column, kind: str, span: Column) -> Column:
     before = F.substring(text, F.greatest(span["start"] - NEAR, F.lit(0)).cast("int") + 1, F.least(span["start"], F.lit(NEAR)).cast("int"))
     after = F.substring(text, span["end"].cast("int") + 1, F.lit(NEAR))
@@ -110,7 +159,7 @@ def find_pii(df: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(col(text), F.lit(""))
 
     def spans_of(kind: str) -> Column:
-        kept = F.filter(matches(t, PATTERN[kind]), lambda x: confirmed(kind, x["value"]))
+        kept = account_numbers(t) if kind == "iban" else F.filter(matches(t, PATTERN[kind]), lambda x: confirmed(kind, x["value"]))
         spans = F.transform(kept, lambda x: scored(t, kind, x))
         some = t.contains("@") if kind == "email" else t.contains("+") if kind == "phone" else t.rlike(PATTERN[kind])
         return F.when(some, spans if kind in BASE else F.filter(spans, lambda x: x["score"] >= LEAST))

@@ -52,6 +52,28 @@ def test_added_kinds_scores_and_mask(spark):
     assert pii.find_pii(df.drop("pii").limit(0)).count() == 0
 
 
+def test_account_numbers_with_neighbours(spark):
+    de, gb, no, odd = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "ZZ92 ABCD 1234 5678 90"
+    rows = [
+        (f"IBAN: {de} BIC: COBADEFFXXX", [de]),
+        (f"{de.replace(' ', '')} BIC COBADEFF", [de.replace(" ", "")]),
+        (f"{de} EUR 250", [de]),
+        (f"{gb} 2024-01-03", [gb]),
+        (f"ü😀 {de} {gb} {no} {de}", [de, gb, no, de]),
+        (f"AB12 {de} X", [de]),
+        (f"DE00 1111 {de}", [de]),
+        (f"{odd} EUR 250", [odd]),
+        (f"{de}x {gb}_ {de[:-1]} {de}9", []),
+        ("AB12 " * 3000 + de, [de]),
+    ]
+    df = pii.find_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string"))
+    got = {r.doc_id: [(x.value, x.start, x.end) for x in r.pii if x.kind == "iban"] for r in df.collect()}
+    for i, (t, want) in enumerate(rows):
+        assert [v for v, _, _ in got[i]] == want and all(t[s:e] == v for v, s, e in got[i]), t[:80]
+    hidden = {r.doc_id: r.text for r in pii.masked(df).collect()}
+    assert hidden[0] == "IBAN: [IBAN] BIC: COBADEFFXXX" and hidden[4] == "ü😀 [IBAN] [IBAN] [IBAN] [IBAN]"
+
+
 def edit(p, t):
     row = [0] * (len(t) + 1)
     for i, c in enumerate(p):
