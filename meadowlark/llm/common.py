@@ -32,8 +32,33 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The folders of this process by application, for ``release``.
+_MADE: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what this application's operators have staged in the shared folder, and returns the number of
+    folders. To be called once their results are written: DataFrames made from them can't be read after it.
+    What an application left that never called it lies there until whoever owns the folder clears it."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(made)
+
+
+def file_system(path: str):
+    """The file system and the path within it, for any URI that Arrow or Hadoop knows."""
+    from pyarrow import fs
+
+    local = re.sub(r"^file:/+", "/", path)
+    return (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

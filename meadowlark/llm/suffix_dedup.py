@@ -18,7 +18,8 @@ Equal texts are one representative throughout; all of a repeated text is a repea
 
 Nulls and short texts: a null text or one of fewer than 50 words has no passages; a row with a null id
 has none. Rows that share an id are one document. Repeats within one document don't count. An empty
-table gives an empty one. Only the id and the text are read.
+table gives an empty one. Only the id and the text are read. A very long text is hashed in pieces; its word
+hashes and anchors are held at once (some 40 bytes a word).
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ from meadowlark.llm.common import col, gram_hashes, group_starts, map_arrow, mix
 LEAST, GRAM, REACH = 50, 8, 30
 SURE = LEAST - REACH + 1
 RUN = 256
-PLACE = np.uint64(26)
+#: Bits of a place when grams are ranked; those of equal rank go by place. A text has fewer words than that.
+PLACE = np.uint64(32)
 KEY = ["key", "part"]
 FOUND = "rep long, start int, stop int, window long, matched boolean"
 

@@ -1,7 +1,7 @@
 """Token counts from flat token files: separator scan.
 
-Documents lie one after the other in binary files of 16-bit token ids, each closed by the
-end-of-document id; there is no index. A file is read in blocks of fixed size that different tasks
+Documents lie one after the other in binary files of token ids, each closed by the end-of-document
+id, the first that the vocabulary doesn't use; ids have 16 bits, or 32 if that one needs them. There is no index. A file is read in blocks of fixed size that different tasks
 take, and numpy finds a block's separators in one vectorised search. A prefix scan over the blocks'
 summaries (separators so far, place of the last one) stitches documents that cross block boundaries:
 it gives each separator its number in the file and each document its length.
@@ -12,12 +12,12 @@ manifest and are never read.
 
 Nulls: a null or empty text is a document of no tokens; a null id stays null. Repeated rows are
 documents of their own. Tokens after a file's last separator are a document with ``complete`` false.
-An empty table or file gives no rows. Only the id and the text are read.
+An empty table or file gives no rows. Only the id and the text are read. A very long text is encoded whole
+(its tokens are held at once, some 30 bytes each) and scanned by blocks like any other.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -26,26 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meadowlark.llm.common import col, fresh_path, map_arrow, ship, slices, staged
-from meadowlark.llm.tokens import FREE, MULTI, encoder, ranks_file
+from meadowlark.llm.common import col, file_system, fresh_path, map_arrow, ship, slices, staged
+from meadowlark.llm.tokens import MULTI, encoder, first_free, ranks_file
 
-SEPARATOR = FREE
-WIDTH = 2
 BLOCK = 4 << 20
 FILE_BYTES = 256 << 20
 
 
-def file_system(path: str):
-    """The file system and the path within it, for any URI that Arrow or Hadoop knows."""
-    from pyarrow import fs
-
-    local = re.sub(r"^file:/+", "/", path)
-    return (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
-
-
 def write_tokens(docs: DataFrame, folder: str, vocabulary: bytes, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Writes the documents' tokens to flat files in ``folder``; returns the manifest."""
     spark = docs.sparkSession
+    separator = first_free(vocabulary)
+    width = width_of(separator)
     ship(spark)
     sent = spark.sparkContext.broadcast(vocabulary)
     place, base = file_system(folder)
@@ -66,7 +58,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: bytes, text: str = "t
                             name, number, size = f"{uuid.uuid4().hex}.bin", 0, 0
                             out = place.open_output_stream(f"{base}/{name}")
                         ids = encode(t) if t else []
-                        raw = np.array([*ids, SEPARATOR], "<u2").tobytes()
+                        raw = np.array([*ids, separator], f"<u{width}").tobytes()
                         out.write(raw)
                         names.append(name), numbers.append(number)
                         number, size = number + 1, size + len(raw)
@@ -85,8 +77,15 @@ def listed(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "length")
 
 
-def scan(files: DataFrame, separator: int = SEPARATOR, block: int = BLOCK) -> DataFrame:
-    """(file, number, n_tokens, complete) of each document in ``files`` (path, file, length)."""
+def width_of(separator: int) -> int:
+    """Bytes of an id."""
+    return 2 if separator < 1 << 16 else 4
+
+
+def scan(files: DataFrame, separator: int, block: int = BLOCK) -> DataFrame:
+    """(file, number, n_tokens, complete) of each document in ``files`` (path, file, length). ``block`` is in
+    bytes, a multiple of an id's."""
+    width = width_of(separator)
     parts = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("length") / block) - 1, F.lit(0)).cast("long"))))
     parts = parts.where("length > 0").select("path", "file", "length", "block").repartition("file", "block")
 
@@ -98,10 +97,10 @@ def scan(files: DataFrame, separator: int = SEPARATOR, block: int = BLOCK) -> Da
                 with place.open_input_file(path) as f:
                     f.seek(at)
                     raw = f.read(min(block, row["length"] - at))
-                ids = np.frombuffer(raw, "<u2", len(raw) // WIDTH)
-                ends = np.flatnonzero(ids == separator) + at // WIDTH
+                ids = np.frombuffer(raw, f"<u{width}", len(raw) // width)
+                ends = np.flatnonzero(ids == separator) + at // width
                 last = [int(ends[-1])] if len(ends) else [None]
-                yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([row["block"]], pa.int64()), pa.array([row["length"] // WIDTH], pa.int64()), pa.array([len(ends)], pa.int64()), pa.array(last, pa.int64()), pa.array([ends], pa.list_(pa.int64()))], ["file", "block", "size", "n", "last", "ends"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([row["block"]], pa.int64()), pa.array([row["length"] // width], pa.int64()), pa.array([len(ends)], pa.int64()), pa.array(last, pa.int64()), pa.array([ends], pa.list_(pa.int64()))], ["file", "block", "size", "n", "last", "ends"])
 
     found = staged(map_arrow(parts, run, "file string, block long, size long, n long, last long, ends array<long>"), "blocks")
     order = Window.partitionBy("file").orderBy("block")
@@ -118,6 +117,7 @@ def token_counts(docs: DataFrame, vocabulary: bytes | None = None, text: str = "
     """(doc_id, n_tokens) of all documents, counted in the flat files written from them."""
     spark = docs.sparkSession
     folder = fresh_path(spark, "tokens")
-    manifest = write_tokens(docs, folder, vocabulary or ranks_file(name=MULTI), text, doc_id)
+    vocabulary = vocabulary or ranks_file(name=MULTI)
+    manifest = write_tokens(docs, folder, vocabulary, text, doc_id)
     kept = listed(spark, folder).join(manifest.select("file").distinct(), "file", "left_semi")
-    return manifest.join(scan(kept), ["file", "number"]).select("doc_id", "n_tokens")
+    return manifest.join(scan(kept, first_free(vocabulary)), ["file", "number"]).select("doc_id", "n_tokens")

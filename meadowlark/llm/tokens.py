@@ -16,6 +16,11 @@ def ranks_file(folder: str = VOCABULARIES, name: str = PLAIN) -> bytes:
     return Path(folder, name).read_bytes()
 
 
+def first_free(raw: bytes) -> int:
+    """The first id that a file of ranks doesn't use."""
+    return max((int(line.split()[1]) for line in raw.splitlines()), default=-1) + 1
+
+
 @functools.lru_cache(2)
 def _built(raw: bytes):
     import tiktoken
