@@ -3,21 +3,24 @@
 Texts are sets of five-word shingles (a text of fewer words: one shingle of them all); two texts are
 linked if the sets' Jaccard similarity is 0.8 or more.
 
-1. One scan gives each document a digest of its words and 125 MinHash values. Equal texts become one
-   representative, so a group of exact copies costs one row from here on.
+1. One scan gives each document a digest of its words and 125 MinHash values. Equal texts are one node
+   from here on, known by the digest, so a group of exact copies costs one row.
 2. Bands of five values propose candidates: texts that share a bucket. A bucket of more than ``TILE``
-   members is cut into blocks, and each pair of blocks is a tile of its own, so that no task holds a
-   whole bucket and no pair is ever a row.
-3. In a tile the MinHash values of a pair are compared 20 at a time; a pair is dropped when the
-   posterior probability that its similarity reaches the threshold falls below ``TOLERANCE``. A pair
-   that shares several buckets belongs to the first of its bands.
-4. The texts of the pairs that are left are fetched by tile, and their shingle sets are compared exactly.
-   A tile reports, for each text, its number of links and the smallest id it is connected with.
+   members or ``WORDS`` shingles is cut into blocks, and each pair of blocks is a tile of its own, so that
+   no task holds a whole bucket and no pair is ever a row.
+3. In a tile a pair that shares an earlier band is left to that one. The MinHash values of the others are
+   compared 20 at a time; a pair is dropped when the posterior probability that its similarity reaches the
+   threshold falls below ``TOLERANCE``. Of the tile stay the texts that have a pair left.
+4. Their texts are fetched, once a node, and go to their tiles; there the pairs are found once more and
+   their shingle sets are compared exactly. A tile reports, for each text, its number of links and the
+   least node it is connected with; pairs stay within the task.
 5. Those stars are merged to connected classes by rounds of minimum labels in the shared folder.
 
-Nulls and empty texts: without words a text links to nothing and is its own class. A row with a null
-id links to nothing; its class is null. Rows that share an id are one document. An empty table gives
-an empty one. Only the id and the text are read, so other columns can have any name.
+Nulls and empty texts: without words a text links to nothing and is its own class. A null id is no
+id: its row is compared like others, and its class is the smallest id there, null if there is none. Rows
+that share an id but not the text are texts of their own; rows that share both are copies. An empty table
+gives an empty one. Only the id and the text are read, so other columns can have any name. Texts are hashed
+whole, a very long one in pieces; a tile holds the words of ``WORDS`` shingles a block on average, or one text.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meadowlark.llm.common import col, gram_hashes, group_starts, map_arrow, mix, slices, sorted_runs, staged, word_hashes
@@ -39,11 +42,13 @@ N, THRESHOLD = 5, Fraction(4, 5)
 ROWS, BANDS = 5, 25
 VALUES = ROWS * BANDS
 STEP, TOLERANCE = 20, 1e-5
-TILE = 256
+TILE, WORDS = 512, 2_000_000
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, VALUES, dtype=np.uint64)
 KEY = ["key", "low", "high"]
+TILES = "key long, low int, high int, block int, band int, node binary"
+TILE_COLUMNS = [*KEY, "block", "band", "node"]
 
 
 def shingles(words: np.ndarray, ends: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -72,12 +77,13 @@ def minhashes(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, digest of the words, MinHash values) of all documents; the last two null without words."""
+    """(doc_id, text_hash, digest of the words, number of shingles, MinHash values) of all rows; the digest
+    and the values are null without words. ``text_hash`` is ``xxhash64`` of the text as it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 256 << 10):
-                texts = part.column(1).to_pylist()
+                texts = part.column(2).to_pylist()
                 grams, starts = shingles(*word_hashes(texts))
                 values = iter(minhashes(grams, starts))
                 digests: list[bytes | None] = [None] * len(texts)
@@ -85,9 +91,13 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                 for i in np.flatnonzero(np.diff(starts)):
                     digests[i] = hashlib.md5(" ".join(texts[i].split()).encode("utf-8", "surrogatepass")).digest()
                     signs[i] = next(values).tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "digest", "sign"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(np.diff(starts), pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "text_hash", "digest", "size", "sign"])
 
-    return map_arrow(docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text")), run, "doc_id long, digest binary, sign binary")
+    return map_arrow(with_hash(docs, text, doc_id), run, "doc_id long, text_hash long, digest binary, size long, sign binary")
+
+
+def with_hash(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
 
 
 @cache
@@ -103,8 +113,12 @@ def needed(n: int) -> int:
 
 
 def likely(signs: np.ndarray, left: np.ndarray, right: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that survive pruning and have no earlier band in common. The values of the band that
+    """The pairs that have no earlier band in common and survive pruning. The values of the band that
     proposed them are left out: they are equal by selection."""
+    for earlier in range(band):
+        cut = slice(earlier * ROWS, (earlier + 1) * ROWS)
+        fresh = (signs[left, cut] != signs[right, cut]).any(1)
+        left, right = left[fresh], right[fresh]
     rest = np.delete(np.arange(VALUES), slice(band * ROWS, (band + 1) * ROWS))
     equal = np.zeros(len(left), np.int32)
     for at in range(0, len(rest), STEP):
@@ -113,54 +127,48 @@ def likely(signs: np.ndarray, left: np.ndarray, right: np.ndarray, band: int) ->
         keep = equal >= needed(min(at + STEP, len(rest)))
         left, right, equal = left[keep], right[keep], equal[keep]
         if not len(left):
-            return left, right
-    if band:
-        first = (signs[left, : band * ROWS] == signs[right, : band * ROWS]).reshape(-1, band, ROWS).all(2).any(1)
-        left, right = left[~first], right[~first]
+            break
     return left, right
 
 
 def pairs_of(block: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a tile, some thousands at a time."""
-    if low == high:
-        for i in range(len(block) - 1):
-            rest = np.arange(i + 1, len(block))
-            yield np.full(len(rest), i), rest
-    else:
-        right = np.flatnonzero(block == high)
-        for i in np.flatnonzero(block == low):
-            yield np.full(len(right), i), right
+    """Index pairs of a tile, some ten thousand at a time."""
+    held, n = [], 0
+    right = np.arange(len(block)) if low == high else np.flatnonzero(block == high)
+    for i in np.arange(len(block)) if low == high else np.flatnonzero(block == low):
+        some = right[i + 1 :] if low == high else right
+        held.append((np.full(len(some), i), some))
+        n += len(some)
+        if n >= 1 << 14:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, low, high, rep, partners) of the texts of each tile that have pairs left."""
+def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """Each tile's rows, one a node, their MinHash values, and the pairs that survive pruning, some at a time."""
     for part in sorted_runs(batches, KEY):
-        key, low, high, block, band, rep = (part.column(c).to_numpy() for c in (*KEY, "block", "band", "rep"))
         ends = group_starts(part, KEY)
-        signs = np.frombuffer(b"".join(part.column("sign").to_pylist()), np.uint32).reshape(-1, VALUES)
-        out: list[tuple] = []
         for s, e in zip(ends[:-1], ends[1:], strict=True):
             if e - s < 2:
                 continue
-            found: dict[int, list[int]] = {}
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            for some in pairs_of(block[s:e], low[s], high[s]):
-                held.append(some)
-                if len(held) >= 32:
-                    collect(held, signs[s:e], int(band[s]), found)
-                    held = []
-            collect(held, signs[s:e], int(band[s]), found)
-            out += [(key[s], low[s], high[s], rep[s + i], [int(rep[s + j]) for j in js]) for i, js in found.items()]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())), strict=True)], [*KEY, "rep", "partners"])
-
-
-def collect(held: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, band: int, found: dict[int, list[int]]) -> None:
-    if held:
-        left, right = likely(signs, np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), band)
-        for i, j in zip(left.tolist(), right.tolist(), strict=True):
-            found.setdefault(i, []).append(j)
-            found.setdefault(j, [])
+            nodes = part.column("node").slice(s, e - s).to_pylist()
+            once = [i for i, x in enumerate(nodes) if not i or x != nodes[i - 1]]  # a lost task's rows can come twice
+            tile = part.slice(s, e - s).take(once)
+            signs = np.frombuffer(b"".join(tile.column("sign").to_pylist()), np.uint32).reshape(-1, VALUES)
+            low, high, band, block = (tile.column(c).to_numpy() for c in ("low", "high", "band", "block"))
+            yield tile, signs, (likely(signs, *some, int(band[0])) for some in pairs_of(block, low[0], high[0]))
+
+
+def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each tile that have pairs left, without their MinHash values."""
+    for tile, signs, pairs in tiles_of(batches):
+        paired = np.zeros(len(signs), bool)
+        for left, right in pairs:
+            paired[left] = paired[right] = True
+        if paired.any():
+            yield from tile.select(TILE_COLUMNS).filter(pa.array(paired)).combine_chunks().to_batches()
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -195,43 +203,48 @@ def roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rep, root, links) of each tile's texts that have exact links there."""
-    for part in sorted_runs(batches, KEY):
-        ends = group_starts(part, KEY)
-        rep, texts, partners = part.column("rep").to_numpy(), part.column("text").to_pylist(), part.column("partners").to_pylist()
-        out: list[tuple[int, int, int]] = []
-        for s, e in zip(ends[:-1], ends[1:], strict=True):
-            ids, first = np.unique(rep[s:e], return_index=True)
-            place = {int(x): i for i, x in enumerate(ids)}
-            pairs = [(place[int(rep[s + f])], place[p]) for f in first for p in partners[s + f] if p in place]
-            if not pairs:
-                continue
-            left, right = np.array(pairs).T
-            sets = [np.unique(shingles(*word_hashes([texts[s + f]]))[0]) for f in first]
-            size = np.array([len(x) for x in sets])
-            both = overlaps(sets, left, right)
-            good = (both > 0) & (both * THRESHOLD.denominator >= (size[left] + size[right] - both) * THRESHOLD.numerator)
-            left, right = left[good], right[good]
-            root = roots(len(ids), left, right)
-            links = np.bincount(left, minlength=len(ids)) + np.bincount(right, minlength=len(ids))
-            out += [(int(ids[i]), int(ids[root[i]]), int(links[i])) for i in np.flatnonzero(links)]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["rep", "root", "links"])
+    """Rows (node, root, links) of each tile's texts that have exact links there."""
+    for tile, signs, pairs in tiles_of(batches):
+        found = [x for x in pairs if len(x[0])]
+        if not found:
+            continue
+        left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+        sets = [np.unique(shingles(*word_hashes([t]))[0]) for t in tile.column("text").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        both = overlaps(sets, left, right)
+        good = (both > 0) & (both * THRESHOLD.denominator >= (size[left] + size[right] - both) * THRESHOLD.numerator)
+        left, right = left[good], right[good]
+        links = np.bincount(left, minlength=len(sets)) + np.bincount(right, minlength=len(sets))
+        some = np.flatnonzero(links)
+        if len(some):
+            nodes = tile.column("node").combine_chunks()
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(some)), nodes.take(pa.array(roots(len(sets), left, right)[some])), pa.array(links[some])], ["node", "root", "links"])
+
+
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of neighbours with the same node the first."""
+    before = None
+    for batch in batches:
+        if batch.num_rows:
+            nodes = batch.column("node").to_pylist()
+            keep = [x != (nodes[i - 1] if i else before) for i, x in enumerate(nodes)]
+            before = nodes[-1]
+            yield batch.filter(pa.array(keep))
 
 
 def connected(stars: DataFrame) -> DataFrame:
-    """(rep, label): the smallest id of each node's class, from rows (rep, root) that tie nodes to
+    """(node, label): the least node of each node's class, from rows (node, root) that tie nodes to
     hubs. Each round takes the least label to the hubs and back, then follows labels one step, so that
     the rounds grow with the logarithm of a class's width. Rounds end when no label changes."""
-    edges = staged(stars.select("rep", "root").union(stars.select("root", "root")).distinct(), "edges")
-    labels = staged(edges.groupBy("rep").agg(F.min("root").alias("label")), "labels")
-    total = lambda df: df.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+    edges = staged(stars.select("node", "root").union(stars.select("root", "root")).distinct(), "edges")
+    labels = staged(edges.groupBy("node").agg(F.min("root").alias("label")), "labels")
+    total = lambda df: df.agg(F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()[0]
     before = total(labels)
     while before is not None:
-        hubs = edges.join(labels, "rep").groupBy("root").agg(F.min("label").alias("label"))
-        near = edges.join(hubs, "root").groupBy("rep").agg(F.min("label").alias("label"))
-        ahead = labels.select(F.col("rep").alias("label"), F.col("label").alias("next"))
-        labels = staged(near.join(ahead, "label", "left").select("rep", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
+        hubs = edges.join(labels, "node").groupBy("root").agg(F.min("label").alias("label"))
+        near = edges.join(hubs, "root").groupBy("node").agg(F.min("label").alias("label"))
+        ahead = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        labels = staged(near.join(ahead, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
         now = total(labels)
         if now == before:
             break
@@ -239,37 +252,62 @@ def connected(stars: DataFrame) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id``, ``copy_of`` (the smallest id with the same words),
-    ``class_id`` (the smallest id of its class of linked texts) and ``n_links`` (other texts it is
-    linked with; copies of one text count as one)."""
+def first_row() -> Column:
+    """Of rows (doc_id, text_hash) the first; those without an id come last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
+
+
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, ``first`` (the row that stands for its class: nameless,
+    doc_id, text_hash; null if it has no words), ``copy`` (the same of its text) and n_links."""
     signed = staged(signatures(docs, text, doc_id), "signatures")
-    known = signed.where("doc_id is not null and digest is not null")
-    reps = staged(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sign").alias("sign")), "texts")
+    nodes = staged(signed.where("digest is not null").groupBy(F.col("digest").alias("node")).agg(first_row().alias("copy"), F.first("size").alias("size"), F.first("sign").alias("sign")), "nodes")
 
     width = ROWS * 4
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sign", b * width + 1, width)) for b in range(BANDS)])
-    buckets = reps.select("rep", F.posexplode(keys).alias("band", "key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    found = buckets.join(shared, "key").select("key", "rep", "band", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
-    placed = found.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    buckets = nodes.select("node", "size", F.posexplode(keys).alias("band", "key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("size")).where("n > 1")
+    blocks = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / WORDS)).cast("int")
+    found = buckets.drop("size").join(shared.select("key", F.least(blocks, F.col("n")).cast("int").alias("blocks")), "key")
+    placed = found.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "rep")
-    tiles = tiles.join(reps.select("rep", "sign"), "rep")
-    left = map_arrow(tiles.repartition(*KEY).sortWithinPartitions(*KEY, "rep"), surviving, "key long, low int, high int, rep long, partners array<long>")
-
-    whole = docs.select(col(doc_id).cast("long").alias("rep"), col(text).alias("text"))
-    # the pairs grow with the documents: at every size a merge of two shuffled sides
-    fetched = staged(left, "pairs").hint("merge").join(whole, "rep").select(*KEY, "rep", "partners", "text")
-    stars = staged(map_arrow(fetched.repartition(*KEY).sortWithinPartitions(*KEY, "rep"), verified, "rep long, root long, links long"), "stars")
-
-    links = stars.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = links.join(connected(stars), "rep", "left")
-    by_text = reps.select("digest", "rep").join(classes, "rep", "left")
-    members = signed.select("doc_id", "digest").join(by_text, "digest", "left")
-    return members.select(
-        "doc_id",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("copy_of"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
-    )
+    tiles = tiles.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "node")
+    tiles = tiles.join(nodes.select("node", "sign"), "node").select(*TILE_COLUMNS, "sign")
+    left = staged(map_arrow(tiles.repartition(*KEY).sortWithinPartitions(*KEY, "node"), surviving, TILES), "tiles")
+
+    # the texts to compare grow with the documents: at every size merges of two shuffled sides
+    wanted = left.select("node").distinct().join(nodes, "node").select("node", "sign", F.col("copy.doc_id").alias("doc_id"), F.col("copy.text_hash").alias("text_hash"))
+    whole = with_hash(docs, text, doc_id).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
+    texts = map_arrow(wanted.alias("w").hint("merge").join(whole, same).select("w.node", "w.sign", "d.text"), once, "node binary, sign binary, text string")
+    fetched = left.hint("merge").join(texts, "node").select(*TILE_COLUMNS, "sign", "text")
+    stars = staged(map_arrow(fetched.repartition(*KEY).sortWithinPartitions(*KEY, "node"), verified, "node binary, root binary, links long"), "stars")
+
+    labels = connected(stars).join(nodes.select("node", "copy"), "node")
+    heads = labels.groupBy("label").agg(F.min("copy").alias("first"))
+    linked = labels.join(heads, "label").join(stars.groupBy("node").agg(F.sum("links").alias("links")), "node").select("node", "first", "links")
+    by_text = nodes.select("node", "copy").join(linked, "node", "left").withColumnRenamed("node", "digest")
+    members = signed.select("doc_id", "text_hash", "digest").join(by_text, "digest", "left")
+    return members.select("doc_id", "text_hash", F.coalesce("first", "copy").alias("first"), "copy", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``copy_of`` (the smallest id with the same words),
+    ``class_id`` (the smallest id of its class of linked texts) and ``n_links`` (other texts it is
+    linked with; copies of one text count as one)."""
+    own = lambda c: F.when(F.col("copy").isNull(), F.col("doc_id")).otherwise(F.col(c)["doc_id"])
+    return classes(docs, text, doc_id).select("doc_id", own("copy").alias("copy_of"), own("first").alias("class_id"), "n_links")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each class: the one with the smallest id (ids before nulls), of texts that
+    share that id the one with the smallest ``xxhash64``, of rows that share both the one whose other columns
+    sort first. Rows without words all stay."""
+    found = staged(classes(docs, text, doc_id), "classes").where("copy is not null")
+    stays = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash").eqNullSafe(F.col("first"))
+    marked = found.withColumn("stays", stays).groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "stays").agg(F.count("*").alias("n"))
+    here = col(doc_id).cast("long").eqNullSafe(F.col("of_id")) & (F.xxhash64(col(text)) == F.col("of_hash"))
+    single = docs.join(marked.where("not stays or n > 1"), here, "left_anti")
+    repeated = docs.join(marked.where("stays and n > 1"), here)
+    least = repeated.groupBy("of_id", "of_hash").agg(F.min(F.struct(*map(col, docs.columns))).alias("row"))
+    return single.unionByName(least.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
