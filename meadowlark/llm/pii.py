@@ -4,7 +4,9 @@ Everything is built from DataFrame functions. Java's regular expressions cut a t
 between the matches (``split``) and the matches themselves (``regexp_extract_all``); running sums of
 their lengths in code points give each match's place. Repeated groups are possessive, which here
 matches the same strings as the greedy form but in a loop, so that very long runs of digits or dots
-can't overflow the stack.
+can't overflow the stack. Context comes from the matches and gaps around a match, and masking cuts the
+text into pieces of bounded length first, so that a very long text with very many matches takes time in
+proportion: what a loop gathers, it gathers by chunks of ``CHUNK``.
 
 Kinds, in order: ``email``, ``ip`` (parts at most 255), ``card`` (12 to 19 digits, Luhn), ``phone``
 (9 to 15 digits); these base spans always stay. The method adds ``iban`` (mod-97) and ``ssn``; they
@@ -20,6 +22,8 @@ Columns of the input that have the name of a result column give way.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +75,10 @@ CONTEXT = {
 #: Of a confirmed match, before context.
 SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.7, "ssn": 0.4}
 NEAR, GAIN, LEAST = 48, 0.2, 0.5
+CHUNK, PIECE = 64, 512
+#: So many matches and gaps before or after a match have NEAR characters or all there are: a match has four at least.
+PARTS = 2 * NEAR // 4
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_EMPTY = "cast(array() as array<struct<start: bigint, end: bigint, value: string>>)"
 
 
 def digits(value: Column) -> Column:
@@ -110,22 +116,45 @@ def confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """The pattern's leftmost non-overlapping matches: start, end (exclusive) in code points, value."""
-    pairs = F.arrays_zip(F.transform(F.split(text, pattern, -1), lambda s: F.length(s)).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, though lambdas of ``use`` refer to it often."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def states(items: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The number that ``step(number, item)`` has made of 0 before each item, from first to last. Loops copy
+    what they gather at every step: so one gathers a number a chunk, and one a chunk's numbers."""
+    start = lambda at: F.struct(at.alias("at"), F.expr("cast(array() as array<bigint>)").alias("out"))
+    add = lambda s, at: F.struct(at.alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+    zero = F.lit(0).cast("bigint")
+
+    def of(chunks: Column) -> Column:
+        begins = F.aggregate(chunks, start(zero), lambda s, c: add(s, F.aggregate(c, s["at"], step)), lambda s: s["out"])
+        return bound(begins, lambda b: F.flatten(F.transform(chunks, lambda c, i: F.aggregate(c, start(F.get(b, i)), lambda s, x: add(s, step(s["at"], x)), lambda s: s["out"]))))
+
+    cut_up = lambda given: F.transform(F.sequence(F.lit(0), F.floor(F.size(given) / CHUNK).cast("int")), lambda i: F.slice(given, i * CHUNK + 1, F.lit(CHUNK)))
+    return bound(bound(items, cut_up), of)
+
 
-    def step(so_far: Column, x: Column) -> Column:
-        start = so_far["at"] + x["gap"]
-        end = start + F.coalesce(F.length(x["value"]), F.lit(0))
-        grown = F.when(x["value"].isNull(), so_far["out"]).otherwise(F.concat(so_far["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))))
-        return F.struct(end.alias("at"), grown.alias("out"))
+def matches(gaps: Column, values: Column) -> Column:
+    """The places of the matches ``values`` between ``gaps``: start, end (exclusive) in code points, value."""
+    sizes = F.transform(values, lambda v, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(v).alias("own"), v.alias("value")))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(_EMPTY).alias("out")), step, lambda x: x["out"])
+    def placed(given: Column) -> Column:
+        before = states(F.transform(given, lambda x: x["gap"] + x["own"]), lambda at, x: at + x)
+        return F.zip_with(given, before, lambda x, at: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["own"]).alias("end"), x["value"].alias("value")))
+
+    return bound(sizes, placed)
+
+
+def cut(text: Column, pattern: str) -> Column:
+    """What lies between a pattern's leftmost non-overlapping matches, and these."""
+    return F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
 
 
 def account_numbers(text: Column) -> Column:
     """Confirmed account numbers that don't overlap: start, end (exclusive) in code points, value."""
-    heads = F.arrays_zip(matches(text, IBAN).alias("head"), F.regexp_extract_all(text, F.lit(IBAN), F.lit(1)).alias("rest"))
+    heads = bound(cut(text, IBAN), lambda c: F.arrays_zip(matches(c["gaps"], c["values"]).alias("head"), F.regexp_extract_all(text, F.lit(IBAN), F.lit(1)).alias("rest")))
     length = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
 
     def value(x: Column) -> Column:
@@ -137,51 +166,105 @@ def account_numbers(text: Column) -> Column:
         passing = F.filter(F.when(known.isNull(), F.array(*ends.values())).otherwise(own), lambda v: (v != "") & confirmed("iban", v))
         return F.struct(x["head"]["start"].alias("start"), F.try_element_at(passing, F.lit(1)).alias("value"))
 
-    def step(so_far: Column, x: Column) -> Column:
-        fresh = x["value"].isNotNull() & (x["start"] >= so_far["at"])
-        end = x["start"] + F.length(x["value"])
-        grown = F.concat(so_far["out"], F.array(F.struct(x["start"].alias("start"), end.alias("end"), x["value"].alias("value"))))
-        return F.struct(F.when(fresh, end).otherwise(so_far["at"]).alias("at"), F.when(fresh, grown).otherwise(so_far["out"]).alias("out"))
+    def first_ones(found: Column) -> Column:
+        before = states(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))), lambda at, x: F.when(x["start"] >= at, x["end"]).otherwise(at))
+        marked = F.zip_with(found, before, lambda x, at: F.struct(x.alias("span"), (x["start"] >= at).alias("fresh")))
+        return F.transform(F.filter(marked, lambda x: x["fresh"]), lambda x: x["span"])
+
+    valued = F.filter(F.transform(heads, value), lambda x: x["value"].isNotNull())
+    return bound(F.transform(valued, lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value"))), first_ones)
+
+
+def parts(gaps: Column, values: Column) -> Column:
+    """Gap, match, gap, match, ... gap."""
+    pairs = F.transform(gaps, lambda g, i: F.array(g, F.coalesce(F.get(values, i), F.lit(""))))
+    return F.flatten(pairs)
 
-    return F.aggregate(F.transform(heads, value), F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(_EMPTY).alias("out")), step, lambda x: x["out"])
 
+def around(gaps: Column, values: Column, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``use(near)`` where ``near(i)`` is the text up to ``NEAR`` characters before and after match i (lower
+    case), made of the ends of the gaps and matches around it."""
+    heads = lambda p: F.transform(p, lambda x: F.left(x, F.lit(NEAR)))
+    tails = lambda p: F.transform(p, lambda x: F.right(x, F.lit(NEAR)))
 
-def scored(text: Column, kind: str, span: Column) -> Column:
-    before = F.substring(text, F.greatest(span["start"] - NEAR, F.lit(0)).cast("int") + 1, F.least(span["start"], F.lit(NEAR)).cast("int"))
-    after = F.substring(text, span["end"].cast("int") + 1, F.lit(NEAR))
-    near = F.lower(F.concat(before, F.lit("\n"), after)).rlike(CONTEXT[kind])
-    score = F.lit(SCORE[kind]) + F.when(near, F.lit(GAIN)).otherwise(F.lit(0.0))
+    def with_ends(e: Column) -> Column:
+        def near(i: Column) -> Column:
+            own = 2 * i + 2  # the match's place among the parts
+            first = F.greatest(own - 1 - PARTS, F.lit(1))
+            before = F.right(F.array_join(F.slice(e["tails"], first, own - first), ""), F.lit(NEAR))
+            after = F.left(F.array_join(F.slice(e["heads"], own + 1, F.lit(PARTS + 1)), ""), F.lit(NEAR))
+            return F.lower(F.concat(before, F.lit("\n"), after))
+
+        return use(near)
+
+    return bound(bound(parts(gaps, values), lambda p: F.struct(heads(p).alias("heads"), tails(p).alias("tails"))), with_ends)
+
+
+def scored(kind: str, span: Column, near: Column) -> Column:
+    score = F.lit(SCORE[kind]) + F.when(near.rlike(CONTEXT[kind]), F.lit(GAIN)).otherwise(F.lit(0.0))
     return F.struct(span["start"].alias("start"), F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind"), span["end"].alias("end"), F.round(score, 2).alias("score"), span["value"].alias("value"))
 
 
+def between(text: Column, spans: Column) -> Column:
+    """Gaps and values of spans that are in order and don't overlap, as ``cut`` gives them for a pattern."""
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda x: x["end"]))
+    starts = F.concat(F.transform(spans, lambda x: x["start"]), F.array(F.length(text).cast("bigint")))
+    stretches = F.arrays_zip(ends.alias("a"), starts.alias("b"))
+    gaps = bound(pieces(text), lambda p: F.transform(stretches, lambda x: stretch(p, x["a"], x["b"])))
+    return F.struct(gaps.alias("gaps"), F.transform(spans, lambda x: x["value"]).alias("values"))
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points."""
+    return F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{PIECE}}}"), F.lit(0))
+
+
+def stretch(cells: Column, a: Column, b: Column) -> Column:
+    """The text from code point ``a`` to ``b`` (exclusive), from its pieces."""
+    first = F.floor(a / PIECE).cast("int")
+    whole = F.array_join(F.slice(cells, first + 1, F.floor(b / PIECE).cast("int") - first + 1), "")
+    return F.when(b > a, F.substring(whole, (a - first * PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+
 def find_pii(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``pii``: an array of (start, order, kind, end, score, value) by start, then kind."""
     t = F.coalesce(col(text), F.lit(""))
 
     def spans_of(kind: str) -> Column:
-        kept = account_numbers(t) if kind == "iban" else F.filter(matches(t, PATTERN[kind]), lambda x: confirmed(kind, x["value"]))
-        spans = F.transform(kept, lambda x: scored(t, kind, x))
+        def found(c: Column) -> Column:
+            placed = F.transform(c["spans"], lambda x, i: F.struct(x.alias("span"), i.alias("i")))
+            kept = placed if kind == "iban" else F.filter(placed, lambda x: confirmed(kind, x["span"]["value"]))
+            score = lambda k: around(c["gaps"], c["values"], lambda near: F.transform(k, lambda x: scored(kind, x["span"], near(x["i"]))))
+            return bound(kept, lambda k: F.when(F.size(k) > 0, score(k)))
+
+        if kind == "iban":
+            all_found = bound(account_numbers(t), lambda s: bound(between(t, s), lambda c: F.struct(c["gaps"], c["values"], s.alias("spans"))))
+        else:
+            all_found = bound(cut(t, PATTERN[kind]), lambda c: F.struct(c["gaps"], c["values"], matches(c["gaps"], c["values"]).alias("spans")))
+        spans = bound(all_found, found)
         some = t.contains("@") if kind == "email" else t.contains("+") if kind == "phone" else t.rlike(PATTERN[kind])
         return F.when(some, spans if kind in BASE else F.filter(spans, lambda x: x["score"] >= LEAST))
 
     found = [spans_of(kind) for kind in KINDS]
     none = F.expr("cast(array() as array<struct<start: bigint, order: int, kind: string, end: bigint, score: double, value: string>>)")
-    whole = F.array_sort(F.concat(*[F.coalesce(x, none) for x in found]))
+    whole = F.sort_array(F.concat(*[F.coalesce(x, none) for x in found]))
     return df.select(*map(col, without(df, ["pii"])), whole.alias("pii"))
 
 
 def masked(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
     """Replaces the text's spans by ``[KIND]``; where spans overlap, the one that starts first counts."""
     t = col(text)
+    end = F.length(t).cast("bigint")
+    items = F.concat(F.transform(col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("tag"))), F.array(F.struct(end.alias("start"), end.alias("end"), F.lit("").alias("tag"))))
+
+    def rebuilt(cells: Column) -> Column:
+        def put(given: Column) -> Column:
+            before = states(F.transform(given, lambda x: x["end"]), lambda at, x: F.greatest(at, x))
+            return F.array_join(F.zip_with(given, before, lambda x, at: F.when(x["start"] >= at, F.concat(stretch(cells, at, x["start"]), x["tag"])).otherwise("")), "")
 
-    def step(so_far: Column, x: Column) -> Column:
-        fresh = x["start"] >= so_far["at"]
-        gap = F.substring(t, so_far["at"].cast("int") + 1, (x["start"] - so_far["at"]).cast("int"))
-        return F.struct(F.greatest(so_far["at"], x["end"]).alias("at"), F.when(fresh, F.concat(so_far["out"], gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(so_far["out"]).alias("out"))
+        return bound(items, put)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rebuilt = F.aggregate(col(spans), start, step, lambda x: F.concat(x["out"], F.substr(t, x["at"].cast("int") + 1)))
-    return df.withColumn(text, F.when(F.size(col(spans)) > 0, rebuilt).otherwise(t))
+    return df.withColumn(text, F.when(F.size(col(spans)) > 0, bound(pieces(t), rebuilt)).otherwise(t))
 
 
 def joined(spans: Column) -> Column:
