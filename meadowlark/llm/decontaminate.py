@@ -7,26 +7,31 @@ hits of an item on neighbouring diagonals make a window, and Myers' bit-parallel
 the least edit distance of the whole item within it. Both sides are lower-cased, and runs of white
 space count as one space.
 
-The items go to the executors in blocks of about ``BLOCK`` characters, whatever their number; a text
-passes the blocks one after the other within its task, so documents are scanned once and never joined.
+The items are staged in the shared folder in blocks of about ``BLOCK`` characters, whatever their number,
+and never pass the driver. A task reads a block at a time and searches about ``HELD`` bytes of documents
+for its items before it takes the next block; so documents are scanned once and never joined, and a task
+holds one block's automaton.
 
 Nulls: a null or empty text or item matches nothing, a row with a null item id neither. Items that
 share an id are all searched, and the least distance counts. Repeated rows are marked alike. An empty
-table gives an empty one. A column of the input called ``leaks`` gives way.
+table gives an empty one. A column of the input called ``leaks`` gives way. A very long text is searched
+whole, in memory in proportion to its length.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meadowlark.llm.common import add_by_rows, col, ship
+from meadowlark.llm.common import col, file_system, fresh_path, map_arrow, pa_type, place_of
 
 RATE = 0.08
-BLOCK = 1_000_000
+BLOCK, HELD = 1_000_000, 32 << 20
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType())]))
 
 
@@ -79,6 +84,8 @@ class Finder:
 
     def leaks(self, text: str) -> list[tuple[int, int]]:
         """(item id, distance) of each item that occurs."""
+        if not self.items:  # a block that no item fell into
+            return []
         diagonals: dict[int, set[int]] = defaultdict(set)
         for end, (n, where) in self.found.iter(text):
             for i, a in where:
@@ -100,33 +107,63 @@ class Finder:
         return sorted(out.items())
 
 
-def blocks(items: DataFrame, text: str, item_id: str, size: int) -> list[DataFrame]:
+def staged_items(items: DataFrame, text: str, item_id: str, size: int) -> tuple[str, int]:
+    """The folder of the items in blocks (``block=0``, ...), and how many there are."""
     rows = items.select(col(item_id).cast("long").alias("item_id"), col(text).alias("text")).where("item_id is not null and trim(text) <> ''").distinct()
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // size)
-    return [rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)]
+    n = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // size)
+    path = fresh_path(items.sparkSession, "items")
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1))).cast("int"))
+    blocks.repartition("block").write.partitionBy("block").parquet(path)
+    return path, n
+
+
+def read_block(path: str, block: int) -> list[tuple[int, str]]:
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    place, base = file_system(path)
+    found = place.get_file_info(fs.FileSelector(f"{base}/block={block}", allow_not_found=True))
+    rows = [r for f in found if f.path.endswith(".parquet") for r in pq.read_table(f.path, filesystem=place, partitioning=None).to_pylist()]
+    return sorted({(r["item_id"], x) for r in rows if (x := normal(r["text"]))})
 
 
 def mark(docs: DataFrame, items: DataFrame, rate: float = RATE, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", block: int = BLOCK) -> DataFrame:
     """Adds ``leaks``: an array of (item_id, distance), by item, of the items that occur in the text."""
-    spark: SparkSession = docs.sparkSession
-    ship(spark)
-    none = F.array().cast(LEAKS)
-    out = docs.select(*[col(c) for c in docs.columns if c.lower() != "leaks"], none.alias("leaks"))
-    for some in blocks(items, item_text, item_id, block):
-        known = sorted({(r["item_id"], x) for r in some.toLocalIterator() if (x := normal(r["text"]))})
-        sent = spark.sparkContext.broadcast(known)
-        held: list[Finder] = []
-
-        def rows(texts, before, sent=sent, held=held):
-            if not held:  # once a task
-                held.append(Finder(sent.value, rate))
-            found = [held[0].leaks(normal(t)) if t else [] for t in texts]
-            return [[[*(tuple(x.values()) for x in old), *new] for old, new in zip(before, found, strict=True)]]
-
-        out = add_by_rows(out, [text, "leaks"], [T.StructField("leaks", LEAKS)], rows)
-    least = F.transform(F.array_distinct(F.transform("leaks", lambda x: x["item_id"])), lambda i: F.struct(i.alias("item_id"), F.array_min(F.transform(F.filter("leaks", lambda x: x["item_id"] == i), lambda x: x["distance"])).alias("distance")))
-    return out.withColumn("leaks", F.array_sort(least))
+    path, n = staged_items(items, item_text, item_id, block)
+    at = place_of(docs, text)
+    keep = [i for i, c in enumerate(docs.columns) if c.lower() != "leaks"]
+    schema = T.StructType([*[docs.schema.fields[i] for i in keep], T.StructField("leaks", LEAKS)])
+    names, kind = [f.name for f in schema.fields], pa_type(LEAKS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder: tuple[int, Finder] | None = None
+
+        def searched(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal finder
+            texts = [normal(t) for batch in held for t in batch.column(at).to_pylist()]
+            least: list[dict[int, int]] = [{} for _ in texts]
+            for b in range(n):
+                if finder is None or finder[0] != b:  # the only block is built once a task
+                    finder = None
+                    finder = b, Finder(read_block(path, b), rate)
+                for t, best in zip(texts, least, strict=True):
+                    for item, distance in finder[1].leaks(t) if t else ():
+                        best[item] = min(distance, best.get(item, distance))
+            leaks = iter(sorted(x.items()) for x in least)
+            for batch in held:
+                mine = [[{"item_id": i, "distance": d} for i, d in next(leaks)] for _ in range(batch.num_rows)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(mine, kind)], names)
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if n < 2 or sum(x.nbytes for x in held) >= HELD:
+                yield from searched(held)
+                held = []
+        if held:
+            yield from searched(held)
+
+    return map_arrow(docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), run, schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, rate: float = RATE, *, text: str = "text") -> DataFrame:
