@@ -7,13 +7,15 @@ may carry.
 
 The join is made of two windows, so that a URL with any share of the rows doesn't land in one task:
 within (URL, slice of time) rows are matched in order of time, and for what is left the slices' latest
-responses are matched in order of slices, at most ``SLICES`` rows a URL. Only ids, times and validators
-pass through the windows; headers are joined once the match is known.
+responses are matched in order of slices, a row a slice. Slices are cut at quantiles of the rows' times,
+so that outliers don't matter and even a URL with all rows has about ``ROWS`` of them in a slice. Only ids,
+times and validators pass through the windows; headers are joined once the match is known.
 
 Nulls: without a URL, a time or an earlier response a revisit has the outcome ``unresolved``; a response
 without an id or a time can't be a target. A validator that the revisit lacks isn't checked; with
 neither it is ``unvalidated``. Of responses with equal times the largest id counts; of records
-that share an id the headers that sort first; repeated rows give repeated results; an empty table gives an empty one. Only the named columns are read.
+that share an id the headers that sort first; repeated rows give repeated results; an empty table gives an
+empty one. Only the named columns are read. Very long URLs and headers pass through like any others.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 
 from meadowlark.llm.common import staged
 
-SLICES = 512
+#: Slices of time: as many as have so many rows each, but at least and at most so many.
+ROWS, SLICES, MOST = 500_000, 512, 1 << 14
 #: The fields that a 304 carries for the cache (RFC 9110, 15.4.5, and Last-Modified).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 _TRACKING = r"^(utm_[a-z]+|gclid|fbclid)(=|$)"
@@ -47,16 +50,31 @@ def permitted(headers: Column) -> Column:
     return F.map_filter(lower, lambda k, _: k.isin(*PERMITTED))
 
 
+def quantiles(rows: DataFrame) -> list[int]:
+    """Times that cut the rows into slices of about equal size: a number a slice."""
+    n = min(max(SLICES, rows.count() // ROWS), MOST)
+    found = rows.agg(F.percentile_approx("at", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else []
+    return sorted(set(found or []))
+
+
+def slice_of(at: Column, bounds: list[int]) -> Column:
+    """How many of the bounds are at most ``at``, by halving."""
+    if not bounds:
+        return F.lit(0)
+    size = 1 << len(bounds).bit_length()
+    steps = F.array(*[F.lit(size >> i) for i in range(1, size.bit_length())])
+    padded = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    return F.aggregate(steps, F.lit(0), lambda i, step: F.when(at >= F.get(padded, i + step - 1), i + step).otherwise(i))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, ``canonical_url``, ``target_id`` (the response), ``outcome``
     (resolved, mismatch, unvalidated, unresolved) and ``headers`` (merged if resolved, else the revisit's
     own). ``records`` has record_id, type (response or revisit), url, ts, etag, last_modified, headers."""
     rows = records.select("record_id", "type", canonical(F.col("url")).alias("canonical_url"), F.unix_micros("ts").alias("at"), "etag", "last_modified")
-    span = rows.agg(F.min("at").alias("low"), F.max("at").alias("high")).first()
-    width = max(1, ((span["high"] or 0) - (span["low"] or 0)) // SLICES + 1)
     known = F.col("canonical_url").isNotNull() & F.col("at").isNotNull()
     full = F.when((F.col("type") == "response") & F.col("record_id").isNotNull(), F.struct("at", "record_id", "etag", "last_modified"))
-    cut = rows.where(known).withColumn("slice", F.floor((F.col("at") - (span["low"] or 0)) / width)).withColumn("full", full)
+    cut = rows.where(known).withColumn("slice", slice_of(F.col("at"), quantiles(rows.where(known)))).withColumn("full", full)
     cut = staged(cut, "captures")
 
     before = Window.partitionBy("canonical_url", "slice").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
