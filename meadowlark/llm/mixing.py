@@ -1,35 +1,51 @@
-"""Mixing sources to target weights: iterative proportional fitting.
+"""Mixing sources to target weights: iterative proportional fitting within bounds.
 
-Token counts are summed by (source, language, topic) cell; the cells' weights are then raked: scaled
-to each dimension's target shares in turn until all marginals hold. A cell's weight against its tokens,
-scaled to the token budget and capped at 1, is the probability with which each of its documents is
-sampled, by a hash of its id. Only DataFrame functions are used. The loop works on the cells, whose
-number is bounded by the product of the dimensions' values, not by the documents.
+Token counts are summed by (source, language, topic) cell, and each dimension's values get targets: shares
+that the caller states, or the values' own token counts to a power, times the token budget. A value can't
+give more tokens than it has, so a target beyond that is clamped and the others of its dimension take over
+what is left. The cells' weights are then raked: scaled to each dimension's targets in turn. A cell is
+never taken more than whole: a weight counts at most as much as the cell's tokens, and what full cells
+can't give is raked from the others. Weight against tokens is the probability with which each of a cell's
+documents is sampled, by a hash of its id, so that the expected tokens meet every marginal.
+
+Raking goes on while its worst deviation shrinks by a tenth or more over ``BLOCK`` rounds. If it stalls
+above ``CLOSE`` (targets that no weights meet together, each of them reachable alone) a warning says by how
+much; the last dimension's targets come first then. ``margins`` reports each value's tokens, target,
+whether it was clamped, and the expected tokens.
+
+Only DataFrame functions are used. The loop works on cells, not on documents; its windows hold the
+cells of one value (of a language: sources x topics, some 100 bytes each, which Spark spills if it must).
 
 Nulls: a null source, language or topic is a value of its own; a null or empty text has no tokens
 and, like all of its cell, its cell's probability (a cell without tokens: the overall rate).
-Documents with equal ids meet the same fate; repeated rows count as often as they come. An empty
-table gives an empty one. Columns of the input that have the name of a result column give way.
+Documents with equal ids meet the same fate; repeated rows count as often as they come. Texts are read
+whole and passed over by expressions, a very long one like any other. An empty table gives an empty one.
+Columns of the input that have the name of a result column give way.
 """
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meadowlark.llm.common import col, staged, without
 
 DIMENSIONS = ("source", "lang", "topic")
-#: A dimension's target shares go as its token counts to this power: 1 keeps them, 0 makes them even.
+#: Unless shares are stated, targets go as a value's tokens to this power: 1 keeps them, 0 makes them even.
 TEMPER = {"source": 0.5, "lang": 0.3, "topic": 0.7}
 RATE = 0.5
-ROUNDS, BLOCK, CLOSE = 60, 6, 1e-6
+#: Rounds of raking between two looks at the deviation, which counts as none below this part of the budget.
+BLOCK, CLOSE = 6, 1e-6
 #: Cells are broadcast to the documents if there are at most so many (about 100 bytes each).
 CELLS_TO_SEND = 200_000
 
 
-def topic_of(text: Column) -> Column:
-    """A topic from a text's form: table, marked-up, shouted, note, article or book."""
+def form_of(text: Column) -> Column:
+    """A text's form: table, marked-up, shouted, note, article or book. The queries take it for the topic,
+    as their table has none."""
     t = F.coalesce(text, F.lit(""))
     n = F.length(t)
     return (
@@ -42,76 +58,126 @@ def topic_of(text: Column) -> Column:
     )
 
 
+def topic_of(text: Column, terms: dict[str, dict[str, float]], other: str = "other") -> Column:
+    """The topic whose weighted terms (topic -> lower-case word -> weight) add up to most over the text's
+    words; of equals the first by name, ``other`` if none occurs."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    known = sorted({w for weights in terms.values() for w in weights})
+    names = sorted(terms)
+    weights = F.create_map(*[x for w in known for x in (F.lit(w), F.array(*[F.lit(float(terms[t].get(w, 0))) for t in names]))])
+    hits = F.filter(F.transform(words, lambda w: F.try_element_at(weights, w)), lambda x: x.isNotNull())
+    none = F.array(*[F.lit(0.0) for _ in names])
+    sums = F.aggregate(hits, none, lambda s, x: F.zip_with(s, x, lambda a, b: a + b))
+    best = F.array_position(sums, F.array_max(sums))
+    return F.when(F.array_max(sums) > 0, F.element_at(F.array(*map(F.lit, names)), best.cast("int"))).otherwise(other)
+
+
 def tokens_of(text: Column) -> Column:
     t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
     return F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def tempered(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
-    """Adds ``target_<dimension>``: the tokens that the cell's value should have in all."""
-    total = F.sum("tokens").over(Window.partitionBy(F.lit(0)))
-    out = cells
-    for d, power in powers.items():
-        share = F.sum("tokens").over(Window.partitionBy(d))
-        out = out.withColumn(f"goal_{d}", F.when(share > 0, F.pow(share, F.lit(power))).otherwise(0.0))
-        once = F.when(F.row_number().over(Window.partitionBy(d).orderBy(*DIMENSIONS)) == 1, F.col(f"goal_{d}"))
-        out = out.withColumn("once", once).withColumn(f"target_{d}", F.try_divide(F.col(f"goal_{d}"), F.sum("once").over(Window.partitionBy(F.lit(0)))) * total)
-    return out.drop("once", *[f"goal_{d}" for d in powers])
-
-
-def rake(cells: DataFrame) -> DataFrame:
-    """Adds ``w`` to cells with ``tokens`` and ``target_*``: weights whose sums by each dimension
-    are the targets within one in a million (where some weights can do that), or as near as 60 rounds come."""
-    out = cells.withColumn("w", F.col("tokens").cast("double"))
-    done = 0
-    while done < ROUNDS:
+def value_of(value: Column) -> Column:
+    """A dimension's value as a key of its cells: null is one too, and unlike the text "null"."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("null"))
+
+
+def by_dimension(of: dict[str, Column]) -> Column:
+    return reduce(lambda c, d: c.when(F.col("dimension") == d, of[d]), DIMENSIONS[1:], F.when(F.col("dimension") == DIMENSIONS[0], of[DIMENSIONS[0]]))
+
+
+def targets(cells: DataFrame, rate: float, powers: dict[str, float], shares: dict[str, dict[str | None, float]]) -> DataFrame:
+    """(dimension, value, tokens, clamped, target): what each value should give in all."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS]))
+    values = cells.select(each.alias("x"), "tokens").groupBy("x.dimension", "x.value").agg(F.sum("tokens").alias("tokens"))
+
+    def goal(d: str) -> Column:
+        if d not in shares:
+            return F.pow("tokens", F.lit(powers[d]))
+        stated = {"null" if v is None else f"={v}": float(s) for v, s in shares[d].items()}
+        return reduce(lambda c, v: F.when(F.col("value") == v, stated[v]).otherwise(c), stated, F.lit(0.0))
+
+    values = staged(values.withColumn("goal", F.when(F.col("tokens") > 0, by_dimension({d: goal(d) for d in DIMENSIONS})).otherwise(0.0)), "values")
+    scale, full = dict.fromkeys(DIMENSIONS, 0.0), None
+    while True:  # each pass settles which values are taken whole; the scale only grows, at most one pass a value
+        scales = by_dimension({d: F.lit(s) for d, s in scale.items()})
+        whole = (F.col("goal") > 0) & (scales * F.col("goal") >= F.col("tokens"))
+        now = values.groupBy("dimension").agg(
+            F.sum("tokens").alias("all"), F.sum(F.when(whole, F.col("tokens")).otherwise(0)).alias("whole"), F.sum(F.when(whole, 0.0).otherwise(F.col("goal"))).alias("rest"), F.count(F.when(whole, 1)).alias("n")
+        ).collect()  # a row a dimension
+        if {r["dimension"]: r["n"] for r in now} == full:
+            break
+        full = {r["dimension"]: r["n"] for r in now}
+        scale |= {r["dimension"]: max(scale[r["dimension"]], (rate * r["all"] - r["whole"]) / r["rest"]) for r in now if r["rest"]}
+    return values.select("dimension", "value", "tokens", whole.alias("clamped"), F.when(whole, F.col("tokens").cast("double")).otherwise(scales * F.col("goal")).alias("target"))
+
+
+def taken() -> Column:
+    """The expected tokens of a cell."""
+    return F.least(F.col("w"), F.col("tokens").cast("double"))
+
+
+def rake(cells: DataFrame, rate: float) -> DataFrame:
+    """Adds ``w`` to cells with ``tokens`` and ``target_*``: of it counts ``least(w, tokens)``, whose sums by
+    each dimension are the targets within ``CLOSE`` of the budget, where some weights can do that."""
+    out = cells.withColumn("w", F.col("tokens") * F.lit(float(rate)))
+    before = None
+    while True:
         for _ in range(BLOCK):
             for d in DIMENSIONS:
-                sums = F.sum("w").over(Window.partitionBy(d))
-                out = out.withColumn("w", F.when(sums > 0, F.col("w") * F.col(f"target_{d}") / sums).otherwise(0.0))
+                w, own, target = Window.partitionBy(d), F.col("tokens").cast("double"), F.col(f"target_{d}")
+                full = F.col("w") >= own
+                held, free = F.sum(F.when(full, own).otherwise(0.0)).over(w), F.sum(F.when(full, 0.0).otherwise(F.col("w"))).over(w)
+                by = F.when((free > 0) & (target > held), (target - held) / free).otherwise(F.coalesce(F.try_divide(target, held + free), F.lit(1.0)))
+                out = out.withColumn("w", F.least(F.col("w") * by, own * 1e6))
         out = staged(out, "rake")
-        done += BLOCK
-        # the last dimension holds after its step; the worst of the first two tells
-        off = [out.groupBy(d).agg(F.sum("w").alias("w"), F.first(f"target_{d}").alias("t")).select(F.abs(F.try_divide(F.col("w"), F.col("t")) - 1).alias("off")) for d in DIMENSIONS[:-1]]
-        worst = off[0].unionAll(off[1]).agg(F.max("off")).first()[0]
-        if worst is None or worst < CLOSE:
-            break
-    return out
-
-
-def probabilities(cells: DataFrame, rate: float) -> DataFrame:
-    """Adds ``prob``: w against tokens, scaled so that the expected tokens are ``rate`` of all
-    though no probability is over 1."""
-    ratio = F.try_divide(F.col("w"), F.col("tokens"))
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    scale, full = rate, -1
-    while True:  # each pass settles which cells are taken whole; at most one pass a cell
-        now = cells.agg(
-            F.sum(F.when(scale * ratio >= 1, F.col("tokens"))).alias("whole"),
-            F.sum(F.when(scale * ratio < 1, F.col("w"))).alias("rest"),
-            F.count(F.when(scale * ratio >= 1, 1)).alias("n"),
-        ).first()
-        if now["n"] == full or not now["rest"]:
-            break
-        full = now["n"]
-        scale = max(scale, (rate * total - (now["whole"] or 0)) / now["rest"])
-    return cells.withColumn("prob", F.coalesce(F.least(F.lit(1.0), F.lit(float(scale)) * ratio), F.lit(float(rate))))
+        worst = deviation(out, rate)
+        if worst < CLOSE:
+            return out
+        if before is not None and worst > 0.9 * before:
+            warnings.warn(f"the targets can't all be met together: one is missed by {worst:.4f} of the token budget", stacklevel=2)
+            return out
+        before = worst
 
 
-def counted(docs: DataFrame, *, text: str = "text", topic: Column | None = None) -> DataFrame:
-    """``docs`` with ``topic`` (by the text's form, unless given), ``n_tokens`` and each row's cell."""
+def deviation(cells: DataFrame, rate: float) -> float:
+    """By how much of the token budget the worst target is missed."""
+    off = [cells.groupBy(d).agg((F.sum(taken()) - F.first(f"target_{d}")).alias("off")).select(F.abs("off").alias("off")) for d in DIMENSIONS]
+    worst = reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0] or 0.0
+    return worst / max((cells.agg(F.sum("tokens")).first()[0] or 0) * rate, 1.0)
+
+
+def counted(docs: DataFrame, topic: Column | str, *, text: str = "text") -> DataFrame:
+    """``docs`` with ``topic`` (an expression, or the name of a column), ``n_tokens`` and each row's cell."""
     keep = without(docs, ["topic", "n_tokens", "prob", "sampled", *[f"cell_{d}" for d in DIMENSIONS]])
     value = {d: col(d) if d in keep else F.lit(None).cast("string") for d in ("source", "lang")}
-    value["topic"] = topic if topic is not None else topic_of(col(text))
-    cell = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
-    return docs.select(*map(col, keep), value["topic"].alias("topic"), tokens_of(col(text)).alias("n_tokens"), *[cell(c).alias(f"cell_{d}") for d, c in value.items()])
+    value["topic"] = col(topic) if isinstance(topic, str) else topic
+    return docs.select(*map(col, keep), value["topic"].alias("topic"), tokens_of(col(text)).alias("n_tokens"), *[value_of(c).alias(f"cell_{d}") for d, c in value.items()])
+
+
+def fitted(rows: DataFrame, rate: float = RATE, powers: dict[str, float] | None = None, shares: dict[str, dict[str | None, float]] | None = None) -> DataFrame:
+    """The raked cells of ``counted`` rows: source, lang, topic, tokens, ``target_*``, ``clamped_*``, w, prob."""
+    cells = staged(rows.groupBy(*[F.col(f"cell_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    goals = targets(cells, rate, TEMPER | (powers or {}), shares or {})
+    for d in DIMENSIONS:
+        cells = cells.join(goals.where(F.col("dimension") == d).select(F.col("value").alias(d), F.col("target").alias(f"target_{d}"), F.col("clamped").alias(f"clamped_{d}")), d)
+    out = rake(staged(cells, "cells"), rate)
+    return out.withColumn("prob", F.coalesce(F.least(F.lit(1.0), F.try_divide("w", "tokens")), F.lit(float(rate))))
+
+
+def margins(cells: DataFrame) -> DataFrame:
+    """(dimension, value, tokens, target, clamped, expected) of ``fitted`` cells: a target is clamped if the
+    value has fewer tokens than its share asks for; expected are the tokens that sampling takes."""
+    per = [
+        cells.groupBy(F.lit(d).alias("dimension"), F.col(d).alias("value")).agg(F.sum("tokens").alias("tokens"), F.first(f"target_{d}").alias("target"), F.first(f"clamped_{d}").alias("clamped"), F.sum(taken()).alias("expected"))
+        for d in DIMENSIONS
+    ]
+    return reduce(DataFrame.unionAll, per)
 
 
-def sampled(rows: DataFrame, rate: float = RATE, powers: dict[str, float] | None = None, *, doc_id: str = "doc_id", seed: int = 5) -> DataFrame:
+def sampled(rows: DataFrame, cells: DataFrame, *, doc_id: str = "doc_id", seed: int = 5) -> DataFrame:
     """``counted`` rows with ``prob`` and ``sampled``."""
     names = [f"cell_{d}" for d in DIMENSIONS]
-    cells = rows.groupBy(*[F.col(f"cell_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("n_tokens").alias("tokens"))
-    cells = staged(probabilities(rake(staged(tempered(cells, powers or TEMPER), "cells")), rate), "cells")
     side = cells.select(*[F.col(d).alias(f"cell_{d}") for d in DIMENSIONS], "prob")
     if cells.count() <= CELLS_TO_SEND:
         side = F.broadcast(side)
@@ -119,12 +185,25 @@ def sampled(rows: DataFrame, rate: float = RATE, powers: dict[str, float] | None
     return rows.join(side, names).withColumn("sampled", uniform < F.col("prob")).drop(*names)
 
 
-def mix(docs: DataFrame, rate: float = RATE, powers: dict[str, float] | None = None, *, text: str = "text", doc_id: str = "doc_id", topic: Column | None = None, seed: int = 5) -> DataFrame:
-    """Adds ``topic``, ``n_tokens``, ``prob`` and ``sampled`` to all documents."""
-    return sampled(counted(docs, text=text, topic=topic), rate, powers, doc_id=doc_id, seed=seed)
+def mix(
+    docs: DataFrame,
+    topic: Column | str,
+    rate: float = RATE,
+    powers: dict[str, float] | None = None,
+    shares: dict[str, dict[str | None, float]] | None = None,
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    seed: int = 5,
+) -> DataFrame:
+    """Adds ``topic``, ``n_tokens``, ``prob`` and ``sampled`` to all documents. ``shares`` states target
+    shares (dimension -> value -> share, values that aren't named get none); else ``powers`` tempers a
+    dimension's own token counts."""
+    rows = counted(docs, topic, text=text)
+    return sampled(rows, fitted(rows, rate, powers, shares), doc_id=doc_id, seed=seed)
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:
     """The query's columns: every document's cell, tokens, probability and whether it is sampled."""
-    slim = counted(docs.select("doc_id", "source", "lang", "text")).drop("text")
-    return sampled(staged(slim, "counted"))
+    slim = staged(counted(docs.select("doc_id", "source", "lang", "text"), form_of(F.col("text"))).drop("text"), "counted")
+    return sampled(slim, fitted(slim))
