@@ -7,9 +7,11 @@ removal costs the least likelihood are then removed and the rest fitted again, d
 the one on this way (or the best single language) whose likelihood, less half the log of the sample
 size for each further language, is highest. Nothing else bounds the number of languages of a text.
 
-Texts are lower-cased, everything but letters becomes a single space, and trigrams of their UTF-8
-bytes are counted whole. Neighbouring trigrams overlap in two bytes, so a text's evidence is counted
-as a third of its trigrams.
+Texts are lower-cased, ASCII signs that aren't letters become a single space (other characters keep their
+UTF-8 bytes, signs among them), and trigrams of bytes are counted over the whole text; of a very long one
+only the counts are held. Neighbouring trigrams overlap in two bytes, so a text's evidence is counted as a
+third of its trigrams. ``fit`` says how many bits a trigram the mixture explains a text better than even
+chances of all buckets; at 0 or less, no learned language explains it.
 
 Nulls: rows with a null text or label don't train; a null text, or one without a letter, is predicted
 ``und`` with the score 0. With nothing to train on every prediction is ``und``. Equal shares go to the
@@ -160,28 +162,40 @@ def choose(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
         share = (share / share.sum(1, keepdims=True)).astype(np.float32)
 
 
+def explained(counts: np.ndarray, model: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Bits a trigram by which each text's mixture beats even chances of all buckets."""
+    row, bucket = np.nonzero(counts)
+    given = np.einsum("ij,ij->i", shares[row], model.T[bucket])
+    bits = counts[row, bucket] * np.log2(np.maximum(given * len(model[0]), 1e-30))
+    return np.bincount(row, bits, minlength=len(counts)) / np.maximum(counts.sum(1), 1)
+
+
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` (the language of the largest share), ``score`` (its share) and ``langs``
-    (all chosen languages with their shares, largest first)."""
+    """Adds ``lang_pred`` (the language of the largest share), ``score`` (its share), ``langs`` (all chosen
+    languages with their shares, largest first) and ``fit`` (null where nothing is predicted)."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(texts: list[str | None]):
-        pred, score, mixed = [], [], []
+        pred, score, mixed, fits = [], [], [], []
         for at in range(0, len(texts), PER_DOC):
             some = texts[at : at + PER_DOC]
-            shares = choose(trigram_counts(some), sent.value) if langs else np.zeros((len(some), 1))
-            for t, s in zip(some, shares, strict=True):
+            counts = trigram_counts(some)
+            shares = choose(counts, sent.value) if langs else np.zeros((len(some), 1))
+            better = explained(counts, sent.value, shares) if langs else np.zeros(len(some))
+            for t, s, bits in zip(some, shares, better, strict=True):
                 if not langs or not has_letter(t):
-                    pred.append("und"), score.append(0.0), mixed.append("")
+                    pred.append("und"), score.append(0.0), mixed.append(""), fits.append(None)
                     continue
-                order = [i for i in np.argsort(-s, kind="stable") if s[i] >= 0.005]
+                order = [i for i in np.argsort(-s, kind="stable") if s[i] > 0]
+                fits.append(round(float(bits), 4))
                 pred.append(langs[order[0]])
                 score.append(round(min(1.0, float(s[order[0]])), 4))
                 mixed.append(",".join(f"{langs[i]}:{s[i]:.2f}" for i in order))
-        return pred, score, mixed
+        return pred, score, mixed, fits
 
-    return add_by_rows(docs, [text], [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("langs", T.StringType())], rows, 1 << 20)
+    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("langs", T.StringType()), T.StructField("fit", T.DoubleType())]
+    return add_by_rows(docs, [text], new, rows, 1 << 20)
 
 
 def fold(doc_id: Column) -> Column:

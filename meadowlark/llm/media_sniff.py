@@ -7,7 +7,8 @@ true type, whatever was declared; confirmed media further in are carved.
 Nulls: a null blob gives null type, length, samples and feature and an empty ``embedded``. A blob
 without any confirmed medium at 0 gets the type ``application/octet-stream`` and no samples. Empty
 blobs count as such. Rows are handled one by one: repeated rows give repeated results, an empty
-table gives an empty one, and columns of the input that have the name of a result column give way.
+table gives an empty one, and columns of the input that have the name of a result column give way. A
+blob or text is held whole, with its stored form and samples: some five times its length for a very long one.
 """
 
 from __future__ import annotations

@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, oracles, pii, suffix_dedup, token_counts, warc_revisit
+from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, oracles, pii, pipeline, suffix_dedup, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +64,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 
