@@ -1,65 +1,7 @@
-"""The corpus pipeline: five stages, each over all rows that the one before it kept."""
+"""The corpus pipeline by the name that drivers look for; its stages are in ``meadowlark/llm/pipeline.py``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from meadowlark.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from meadowlark.llm import decontaminate, lang_id, mixing, ngram_join, pii
-from meadowlark.llm.common import staged, table
-
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose largest language has a smaller share is rejected as a jumble.
-LEAST_SHARE = 0.4
-
-
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without any language (no letters) or without one that prevails; fills in a
-    missing ``lang``."""
-    langs, model = lang_id.train(docs)
-    known = lang_id.identify(docs.select(*COLUMNS), langs, model)
-    kept = known.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of linked texts (and rows without an id)."""
-    classes = ngram_join.near_duplicates(docs)
-    copies = classes.where("doc_id <> class_id").select("doc_id")
-    return docs.select(*COLUMNS).join(copies, "doc_id", "left_anti").select(*COLUMNS)
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that a benchmark item occurs in."""
-    return decontaminate.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).select(*COLUMNS)
-
-
-def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind; keeps every document."""
-    out = pii.masked(pii.find_pii(docs.select(*COLUMNS)))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
-
-
-def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics come near their target weights."""
-    return mixing.mix(docs.select(*COLUMNS)).where("sampled").select(*COLUMNS, "topic", "n_tokens", "prob")
-
-
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", identify_language),
-    ("ngram_join", drop_near_duplicates),
-    ("decontaminate", drop_contaminated),
-    ("pii", mask_personal_data),
-    ("mix_sources", mix_to_targets),
-]
-#: SQL can't express the language model, MinHash or Myers' algorithm; tests/llm compares with brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
