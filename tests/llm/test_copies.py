@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from meadowlark.llm import ngram_join, suffix_dedup
+from tests.llm.conftest import prose
 
 
 def texts(df):
@@ -37,10 +38,46 @@ def test_links_and_classes(corpus, monkeypatch, tile):
     got = ngram_join.near_duplicates(corpus).collect()
     assert len(got) == corpus.count()
     assert {r.doc_id: (r.copy_of, r.class_id, r.n_links) for r in got if r.doc_id is not None} == linked(texts(corpus))
-    assert [(r.copy_of, r.class_id, r.n_links) for r in got if r.doc_id is None] == [(None, None, 0)]
+    assert [(r.copy_of, r.class_id, r.n_links) for r in got if r.doc_id is None] == [(3, 3, 0)]  # a copy of 3
     assert sum(r.doc_id == 12 for r in got) == 2
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark):
+    """Ids that two texts share, rows that come twice, rows without an id, texts without words."""
+    a, b, c = (prose(i, 100) for i in (501, 502, 503))
+    near = lambda t, k: " ".join(t.split()[:-k] + ["new"] * k)
+    rows = [(1, a), (1, b), (2, near(a, 2)), (3, near(b, 3)), (3, near(b, 3)), (4, c), (4, c), (4, c), (None, c), (None, near(a, 1)), (None, "lone words"), (None, "lone words"), (5, ""), (5, ""), (6, None), (None, None)]
+    return spark.createDataFrame([(*r, f"s{i % 2}") for i, r in enumerate(rows)], "doc_id long, text string, source string")
+
+
+def test_shared_and_missing_ids(shared_ids):
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id if r.class_id is not None else -1, r.n_links) for r in ngram_join.near_duplicates(shared_ids).collect())
+    want = [(1, 1, 2), (1, 1, 1), (2, 1, 2), (3, 1, 1), (3, 1, 1), (4, 4, 0), (4, 4, 0), (4, 4, 0), (-1, 4, 0), (-1, 1, 2), (-1, -1, 0), (-1, -1, 0), (5, 5, 0), (5, 5, 0), (6, 6, 0), (-1, -1, 0)]
+    assert got == sorted(want)
+
+
+def test_one_of_each_class_stays(spark, shared_ids):
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(shared_ids).collect()]
+    a, b, c = (prose(i, 100) for i in (501, 502, 503))
+    assert Counter(kept) == Counter([(1, a), (1, b), (4, c), (None, "lone words"), (5, ""), (5, ""), (6, None), (None, None)])
+    again = ngram_join.one_of_each(shared_ids.repartition(3))
+    assert sorted(again.collect(), key=repr) == sorted(ngram_join.one_of_each(shared_ids).collect(), key=repr)
+    assert ngram_join.one_of_each(shared_ids.limit(0)).count() == 0
+
+
+def test_large_class_of_near_copies(spark, monkeypatch):
+    """Blocks by members and by words give the same links as one tile."""
+    base = prose(900, 150).split()
+    rows = [(i, " ".join(base[: 10 + i % 130] + [f"u{i}"] + base[11 + i % 130 :])) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = linked(texts(df))
+    for tile, words in ((512, 10**6), (7, 10**6), (512, 900)):
+        monkeypatch.setattr(ngram_join, "TILE", tile)
+        monkeypatch.setattr(ngram_join, "WORDS", words)
+        assert {r.doc_id: (r.copy_of, r.class_id, r.n_links) for r in ngram_join.near_duplicates(df).collect()} == want
+
+
 def test_no_documents_and_other_columns(spark, corpus):
     assert ngram_join.near_duplicates(corpus.limit(0)).count() == 0
     odd = corpus.where("doc_id < 3").selectExpr("doc_id as id", "text as body", "lang as rep", "source as digest", "n_chars as key", "1 as doc_id")
@@ -58,8 +95,8 @@ def test_pruning_keeps_likely_pairs():
 
 
 def test_classes_join_over_tiles(spark):
-    stars = spark.createDataFrame([(i + 1, i, 1) for i in range(30)] + [(100, 100, 1)], "rep long, root long, links long")
-    assert {r.rep: r.label for r in ngram_join.connected(stars).collect()} == {i: 0 for i in range(31)} | {100: 100}
+    stars = spark.createDataFrame([(i + 1, i, 1) for i in range(30)] + [(100, 100, 1)], "node long, root long, links long")
+    assert {r.node: r.label for r in ngram_join.connected(stars).collect()} == {i: 0 for i in range(31)} | {100: 100}
 
 
 def passages(rows):
@@ -101,8 +138,6 @@ def test_passages(corpus, monkeypatch, run):
 @pytest.mark.parametrize("run", [256, 1])
 def test_windows_that_neighbours_miss(spark, monkeypatch, run):
     """Texts that share a passage around one anchor, hidden among texts that share only one side of it."""
-    from tests.llm.conftest import prose
-
     monkeypatch.setattr(suffix_dedup, "RUN", run)
     left, right = prose(1, 27).split(), prose(2, 60).split()
     rows = [(0, prose(10, 30).split() + left + right[:30] + prose(11, 30).split()), (1, prose(12, 30).split() + left + right[:30] + prose(13, 30).split())]

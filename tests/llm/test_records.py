@@ -1,7 +1,10 @@
 """Media, tokens, chats, revisits: round trips and brute force."""
 
+import base64
 import hashlib
+import io
 import struct
+import wave
 import zlib
 
 import pytest
@@ -28,6 +31,41 @@ def test_media_round_trip(spark):
     assert media_sniff.media_digest(df.limit(0)).count() == 0
 
 
+def samples(blob):
+    """A stored form's samples by other readers: the wave module, BMP rows by their offset, PNG rows by zlib."""
+    if blob[:4] == b"RIFF":
+        with wave.open(io.BytesIO(blob)) as f:
+            assert (f.getnchannels(), f.getsampwidth()) == (1, 1)
+            return f.readframes(f.getnframes()), "audio/wav"
+    if blob[:2] == b"BM":
+        at, width, height = struct.unpack("<I", blob[10:14])[0], *struct.unpack("<ii", blob[18:26])
+        assert height < 0 and width % 4 == 0 and struct.unpack("<I", blob[2:6])[0] == len(blob)  # from the top down, no fill
+        return blob[at : at + width * -height], "image/bmp"
+    data, p = b"", 8
+    while p < len(blob):
+        n, name = struct.unpack(">I4s", blob[p : p + 8])
+        body = blob[p + 8 : p + 8 + n]
+        assert struct.unpack(">I", blob[p + 8 + n : p + 12 + n])[0] == zlib.crc32(name + body)
+        width = struct.unpack(">I", body[:4])[0] if name == b"IHDR" else width
+        data += body if name == b"IDAT" else b""
+        p += 12 + n
+    rows = zlib.decompress(data)
+    return b"".join(rows[i + 1 : i + 1 + width] for i in range(0, len(rows), width + 1)), "image/png"
+
+
+def test_stored_forms_and_features(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    stored = {r.doc_id: bytes(r.media) for r in media_sniff.store_text(df).collect()}
+    for r in media_sniff.media_digest(df).collect():
+        payload, kind = samples(stored[r.doc_id])
+        assert (r.payload_bytes, r.payload_sha256, r.media_sha256) == (len(payload), hashlib.sha256(payload).hexdigest(), hashlib.sha256(stored[r.doc_id]).hexdigest())
+        mean = sum(payload) / len(payload)
+        spread = (sum((x - mean) ** 2 for x in payload) / len(payload)) ** 0.5
+        name, n, m, d, values, inner = r.feature.split(";")
+        assert (name, int(n), int(values), r.detected) == (kind, len(payload), len(set(payload)), kind) and int(inner) == 0
+        assert abs(float(m) - mean) < 1e-3 and abs(float(d) - spread) < 1e-3
+
+
 GIF = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0x80, 0, 0) + b"\0\0\0\xff\xff\xff" + b"!\xf9\x04\0\0\0\0\0" + b"," + struct.pack("<HHHHB", 0, 0, 1, 1, 0) + b"\x02\x02D\x01\0" + b";"
 JPEG = b"\xff\xd8" + b"\xff\xe0" + struct.pack(">H", 7) + b"JFIF\0" + b"\xff\xc0" + struct.pack(">H", 11) + b"\x08\0\1\0\1\1\1\x11\0" + b"\xff\xda" + struct.pack(">H", 8) + b"\1\1\0\0\x3f\0" + b"\x12\xff\0\x34\xff\xd9"
 
@@ -67,6 +105,14 @@ def test_token_counts(spark, tmp_path):
     assert token_counts.token_counts(df.limit(0)).count() == 0
 
 
+def test_wide_vocabulary(spark, tmp_path):
+    """Ids beyond 16 bits, and a vocabulary that uses 50256 itself."""
+    for top in (300, 50256, 70000):
+        ranks = b"\n".join([*[base64.b64encode(bytes([i])) + b" %d" % i for i in range(256)], base64.b64encode(b"ab") + b" %d" % top])
+        df = spark.createDataFrame([(1, "ab ab"), (2, ""), (3, "ab"), (4, "xyz")], "doc_id long, text string").repartition(1)
+        assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, ranks).collect()} == {1: 3, 2: 0, 3: 1, 4: 3}
+
+
 @pytest.mark.parametrize("block", [2, 6, 64, 1 << 20])
 def test_blocks_are_stitched(spark, tmp_path, block):
     import numpy as np
@@ -118,6 +164,23 @@ def records(spark, rows):
     return spark.createDataFrame([(i, k, u, None if t is None else __import__("datetime").datetime.fromtimestamp(t), e, m, h, "x") for i, k, u, t, e, m, h in rows], schema)
 
 
+def test_outlier_times_and_a_hot_url(spark):
+    """Two records far off don't make one slice of the rest, and one URL's rows spread over the slices."""
+    rows = [(i, "response" if i % 3 else "revisit", "http://a.com/", 1_700_000_000 + i, None, None, None) for i in range(3000)]
+    rows += [(5000, "response", "http://a.com/", 0, None, None, None), (5001, "revisit", "http://a.com/", 4_000_000_000, None, None, None)]
+    df = records(spark, rows)
+    times = df.select(F.unix_micros("ts").alias("at"))
+    bounds = warc_revisit.quantiles(times)
+    sizes = [r["count"] for r in times.groupBy(warc_revisit.slice_of(F.col("at"), bounds).alias("slice")).count().collect()]
+    assert len(sizes) > warc_revisit.SLICES / 2 and max(sizes) < 5 * len(rows) / warc_revisit.SLICES
+    import bisect
+
+    placed = times.select("at", warc_revisit.slice_of(F.col("at"), bounds).alias("slice")).collect()
+    assert all(r.slice == bisect.bisect_right(bounds, r.at) for r in placed)
+    got = {r.record_id: r.target_id for r in warc_revisit.resolve_revisits(df).collect()}
+    assert got[5001] == 2999 and got[0] == 5000 and all(got[i] == i - 1 for i in range(3, 3000, 3))
+
+
 @pytest.mark.parametrize("slices", [1, 512])
 def test_revisits(spark, monkeypatch, slices):
     import random

@@ -74,6 +74,41 @@ def test_account_numbers_with_neighbours(spark):
     assert hidden[0] == "IBAN: [IBAN] BIC: COBADEFFXXX" and hidden[4] == "ü😀 [IBAN] [IBAN] [IBAN] [IBAN]"
 
 
+def near(text, start, end):
+    return (text[max(0, start - pii.NEAR) : start] + "\n" + text[end : end + pii.NEAR]).lower()
+
+
+def test_context_and_mask_of_many_matches(spark, monkeypatch):
+    """Scores from the signs around each span, and the masked text, against plain Python; chunks and pieces are
+    so small that every text has many."""
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    monkeypatch.setattr(pii, "PIECE", 7)
+    rng = random.Random(9)
+    parts = ["a@b.co", " mail ", "1.2.3.4", ".5", "host ", "4111 1111 1111 1111", " visa ", "+49 (30) 1234-567", "é😀", " ", "\n", "7", "123-45-6789", " ssn ", "GB82WEST12345698765432", " iban ", "x" * 60]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 40)))) for i in range(300)] + [(1000, " ".join(f"host 10.0.{i % 300}.7" for i in range(400)))]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    got, hidden = ({r.doc_id: r for r in df.collect()} for df in (found, pii.masked(found)))
+    for i, t in rows:
+        assert [f"{x.kind}:{x.start}:{x.end}" for x in got[i].pii if x.kind in BASE] == base_spans(t)
+        for x in got[i].pii:
+            assert t[x.start : x.end] == x.value
+            gain = pii.GAIN if re.search(pii.CONTEXT[x.kind], near(t, x.start, x.end)) else 0
+            assert abs(x.score - pii.SCORE[x.kind] - gain) < 1e-9
+        out, at = "", 0
+        for x in got[i].pii:
+            if x.start >= at:
+                out += t[at : x.start] + f"[{x.kind.upper()}]"
+            at = max(at, x.end)
+        assert hidden[i].text == out + t[at:]
+
+
+def test_a_text_of_very_many_matches(spark):
+    n = 20000
+    text = " ".join(f"host 10.0.{i % 256}.7" for i in range(n))
+    got = pii.masked(pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    assert len(got.pii) == n and got.text == " ".join(["host [IP]"] * n)
+
+
 def edit(p, t):
     row = [0] * (len(t) + 1)
     for i, c in enumerate(p):
@@ -84,7 +119,7 @@ def edit(p, t):
     return min(row)
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     from tests.llm.conftest import prose
 
     rng = random.Random(4)
@@ -111,7 +146,8 @@ def test_leaks(spark):
             x = decontaminate.normal(x)
             if k is not None and x and n and (e := edit(x, n)) <= int(len(x) * decontaminate.RATE):
                 want[i, k] = min(e, want.get((i, k), 99))
-    for block in (decontaminate.BLOCK, 400):
+    for block, held in ((decontaminate.BLOCK, decontaminate.HELD), (400, decontaminate.HELD), (40, 1)):
+        monkeypatch.setattr(decontaminate, "HELD", held)
         marked = decontaminate.mark(d, b, block=block)
         assert marked.count() == len(docs)
         assert {(r.doc_id, x.item_id): x.distance for r in marked.collect() for x in r.leaks} == want
@@ -219,6 +255,21 @@ def test_choice_of_languages_is_the_best_set():
         lang_id.AT_ONCE = lang_id_pieces
 
 
+def test_fit_tells_languages_from_noise(spark):
+    rng = random.Random(3)
+    rows = [(i, sentences(i, lang, 40), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 40)]
+    noise = ["".join(rng.choices("qwxzjyp ", k=400)), "ж" * 300, "中文字" * 80]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = lang_id.train(df)
+    more = df.unionByName(spark.createDataFrame([(1000 + i, t, None) for i, t in enumerate(noise)], df.schema))
+    got = {r.doc_id: r for r in lang_id.identify(more, langs, model).collect()}
+    assert all(got[i].fit > 1 for i, _, _ in rows) and all(got[1000 + i].fit < 0 for i in range(len(noise)))
+    t, at = rows[0][1], langs.index("aa")
+    counts = lang_id.trigram_counts([t])[0]
+    bits = sum(n * np.log2(model[at][b] * lang_id.BUCKETS) for b, n in enumerate(counts) if n) / counts.sum()
+    assert got[0].langs.startswith("aa:1") and abs(got[0].fit - bits) < 1e-3
+
+
 def test_languages_without_training(spark):
     df = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     langs, model = lang_id.train(df)
@@ -232,56 +283,112 @@ def test_language_limit(spark, monkeypatch):
         lang_id.train(spark.createDataFrame([("a", "x"), ("b", "y")], "text string, lang string"))
 
 
-def raked(cells, targets, rounds=400):
-    w = {c: float(t) for c, t in cells.items()}
+def goals(cells, rate, d, goal):
+    """Brute force: a dimension's targets, clamped to what its values have."""
+    have = {}
+    for c, t in cells.items():
+        have[c[d]] = have.get(c[d], 0) + t
+    want = {v: goal(v, t) if t else 0.0 for v, t in have.items()}
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        mid = (low + high) / 2
+        spent = sum(min(have[v], mid * want[v]) for v in have)
+        low, high = (mid, high) if spent < rate * sum(have.values()) else (low, mid)
+    return {v: min(have[v], low * want[v]) for v in have}
+
+
+def raked(cells, targets, rate, rounds=300):
+    """Brute force: raking where a value's factor is found by halving, and cells stay within their tokens."""
+    w = {c: rate * t for c, t in cells.items()}
     for _ in range(rounds):
-        for d in range(3):
-            sums = {}
-            for c, x in w.items():
-                sums[c[d]] = sums.get(c[d], 0) + x
-            w = {c: x * targets[d][c[d]] / sums[c[d]] if sums[c[d]] else 0.0 for c, x in w.items()}
-    return w
+        for d, target in enumerate(targets):
+            for v, goal in target.items():
+                mine = [c for c in cells if c[d] == v]
+                low, high = -60.0, 60.0
+                for _ in range(60):
+                    mid = (low + high) / 2
+                    low, high = (mid, high) if sum(min(cells[c], 2**mid * w[c]) for c in mine) < goal else (low, mid)
+                for c in mine:
+                    w[c] = min(2**low * w[c], 64.0 * cells[c])
+    return {c: min(x, cells[c]) for c, x in w.items()}
+
+
+def expected(got):
+    """Tokens by cell, and those that sampling is expected to take, by (dimension, value)."""
+    cells, out = {}, {}
+    for r in got:
+        key = (r.source, r.lang, r.topic)
+        cells[key] = cells.get(key, 0) + r.n_tokens
+        for d, v in enumerate(key):
+            out[d, v] = out.get((d, v), 0) + r.n_tokens * r.prob
+    return cells, out
 
 
-def test_mixing(spark):
+def scarce(n):
     rng = random.Random(6)
-    rows = [(i, " ".join(["w"] * rng.choice([0, 3, 50, 700])) + (" | " if rng.random() < 0.2 else ""), rng.choice(["en", "en", "en", "de", None]), rng.choice(["s1", "s1", "s2", "s3"])) for i in range(4000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = mixing.mix(df, 0.3).collect()
-    assert len(got) == len(rows)
-    cells = {}
+    words = lambda: " ".join(["w"] * rng.choice([0, 3, 50, 700])) + (" | " if rng.random() < 0.05 else "")
+    return [(i, words(), rng.choice(["en", "en", "en", "en", "en", "de", None]), rng.choice(["s1", "s1", "s2", "s3"])) for i in range(n)]
+
+
+def test_mixing(spark):
+    df = spark.createDataFrame(scarce(4000), "doc_id long, text string, lang string, source string")
+    form = mixing.form_of(F.col("text"))
+    counted = mixing.counted(df, form)
+    fit = mixing.fitted(counted)
+    got = mixing.sampled(counted, fit).collect()
+    assert len(got) == 4000 and all(r.n_tokens == len(r.text.split()) for r in got)
+    cells, took = expected(got)
+    total = sum(cells.values())
+    targets = [goals(cells, mixing.RATE, d, lambda v, t, name=name: t ** mixing.TEMPER[name]) for d, name in enumerate(mixing.DIMENSIONS)]
+    for d, target in enumerate(targets):
+        for v, goal in target.items():
+            assert abs(took[d, v] - goal) < 1e-5 * total, (d, v)
+    assert any(goal and abs(goal - sum(t for c, t in cells.items() if c[d] == v)) < 1e-6 * total for d, target in enumerate(targets) for v, goal in target.items())  # some are clamped
+    whole = raked(cells, targets, mixing.RATE, 40)
     for r in got:
-        assert r.n_tokens == len(r.text.split())
         key = (r.source, r.lang, r.topic)
-        cells[key] = cells.get(key, 0) + r.n_tokens
-    total, targets = sum(cells.values()), []
+        assert abs(r.prob - (whole[key] / cells[key] if cells[key] else mixing.RATE)) < 1e-3
+    assert abs(sum(r.n_tokens for r in got if r.sampled) / total - mixing.RATE) < 0.05
+    assert {r.doc_id: r.sampled for r in mixing.sampled(counted.repartition(3), fit).collect()} == {r.doc_id: r.sampled for r in got}
+    told = {(r.dimension, r.value): r for r in mixing.margins(fit).collect()}
     for d, name in enumerate(mixing.DIMENSIONS):
-        sums = {}
-        for c, t in cells.items():
-            sums[c[d]] = sums.get(c[d], 0) + t
-        goal = {v: t ** mixing.TEMPER[name] if t else 0.0 for v, t in sums.items()}
-        targets.append({v: g / sum(goal.values()) * total for v, g in goal.items()})
-    w = raked(cells, targets)
-    low, high = 0.0, 100.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        spent = sum(min(1.0, mid * w[c] / t) * t for c, t in cells.items() if t)
-        low, high = (mid, high) if spent < 0.3 * total else (low, mid)
-    for r in got:
-        c = (r.source, r.lang, r.topic)
-        want = min(1.0, low * w[c] / cells[c]) if cells[c] else 0.3
-        assert abs(r.prob - want) < 1e-4
-    spent = sum(r.n_tokens for r in got if r.sampled)
-    assert abs(spent / total - 0.3) < 0.05
-    again = {r.doc_id: r.sampled for r in mixing.mix(df, 0.3).collect()}
-    assert again == {r.doc_id: r.sampled for r in got}
+        for v, goal in targets[d].items():
+            r = told[name, "null" if v is None else f"={v}"]
+            assert abs(r.expected - took[d, v]) < 1e-4 * total and abs(r.target - goal) < 1e-4 * total
+            assert r.clamped == (goal > 0 and r.target >= r.tokens)
+
+
+def test_stated_shares(spark):
+    df = spark.createDataFrame(scarce(3000), "doc_id long, text string, lang string, source string")
+    shares = {"lang": {"en": 3, "de": 1}, "source": {"s1": 1, "s2": 1, "s3": 1}}
+    cells, took = expected(mixing.mix(df, mixing.form_of(F.col("text")), 0.1, {"topic": 1.0}, shares).collect())
+    total = 0.1 * sum(cells.values())
+    assert abs(took[1, "en"] / total - 0.75) < 1e-4 and abs(took[1, "de"] / total - 0.25) < 1e-4 and took[1, None] == 0
+    assert all(abs(took[0, s] / total - 1 / 3) < 1e-4 for s in ("s1", "s2", "s3"))
+
+
+def test_targets_that_cant_hold_together(spark):
+    rows = [(i, "w " * 10, "en" if i % 2 else "de", "s1" if i % 2 else "s2", "t") for i in range(200)]  # a language a source
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, about string")
+    with pytest.warns(UserWarning, match="together"):
+        cells = mixing.fitted(mixing.counted(df, "about"), 0.2, shares={"lang": {"en": 0.9, "de": 0.1}, "source": {"s1": 0.5, "s2": 0.5}})
+    told = {(r.dimension, r.value): r for r in mixing.margins(cells).collect()}
+    assert abs(told["topic", "=t"].expected - 400) < 1 and not any(r.clamped for r in told.values())
+
+
+def test_topics_by_terms(spark):
+    terms = {"law": {"court": 2.0, "appeal": 1.0}, "food": {"soup": 1.0, "court": 0.5}}
+    rows = [("The COURT, the soup!", "law"), ("soup soup soup court", "food"), ("nothing", "none"), (None, "none"), ("", "none"), ("appeal soup", "food")]
+    df = spark.createDataFrame(rows, "text string, want string").withColumn("got", mixing.topic_of(F.col("text"), terms, "none"))
+    assert all(r.got == r.want for r in df.collect())
 
 
 def test_mixing_edges(spark):
     df = spark.createDataFrame([(None, None, None, None, "x"), (1, "", "en", "s", "x"), (1, "a b", "en", "s", "x"), (1, "a b", "en", "s", "x")], "doc_id long, text string, lang string, source string, prob string")
-    got = mixing.mix(df).collect()
+    form = mixing.form_of(F.col("text"))
+    got = mixing.mix(df, form).collect()
     assert len(got) == 4 and all(0 <= r.prob <= 1 for r in got)
     assert len({r.sampled for r in got if r.n_tokens == 2}) == 1
-    assert mixing.mix(df.limit(0)).count() == 0
+    assert mixing.mix(df.limit(0), form).count() == 0
     only = spark.createDataFrame([(1, None)], "doc_id long, text string")
-    assert mixing.mix(only, topic=F.lit("t")).first().topic == "t"
+    assert mixing.mix(only, F.lit("t")).first().topic == "t"
