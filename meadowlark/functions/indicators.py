@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meadowlark.functions.arrays import states
 from meadowlark.operators.rank import percentile
 
 
@@ -39,14 +40,13 @@ def ema(bars: DataFrame, span: int = 21, value: str = "close", out: str = "ema")
     null value carry none. A symbol's rows are gathered to an array: as many as its dates."""
     a = 2.0 / (span + 1)
     gathered = bars.where(F.col(value).isNotNull()).groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("dt", F.col(value).alias("x")))).alias("xs"))
-    kind = "array<struct<dt: date, x: double, e: double>>"
 
-    def step(so_far: Column, r: Column) -> Column:
-        e = F.when(so_far["e"].isNull(), r["x"]).otherwise(F.lit(a) * r["x"] + F.lit(1 - a) * so_far["e"])
-        return F.struct(e.alias("e"), F.concat(so_far["out"], F.array(F.struct(r["dt"].alias("dt"), r["x"].alias("x"), e.alias("e")))).alias("out"))
+    def step(e: Column, x: Column) -> Column:
+        return F.when(e.isNull(), x).otherwise(F.lit(a) * x + F.lit(1 - a) * e)
 
-    start = F.struct(F.lit(None).cast("double").alias("e"), F.array().cast(kind).alias("out"))
-    done = gathered.select("symbol", F.explode(F.aggregate("xs", start, step, lambda s: s["out"])).alias("r"))
+    before = states(F.transform("xs", lambda r: r["x"]), step, F.lit(None), "double")
+    each = F.zip_with("xs", before, lambda r, e: F.struct(r["dt"].alias("dt"), r["x"].alias("x"), step(e, r["x"]).alias("e")))
+    done = gathered.select("symbol", F.explode(each).alias("r"))
     return done.select("symbol", "r.dt", F.col("r.x").alias(value), F.col("r.e").alias(out))
 
 

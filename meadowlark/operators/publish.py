@@ -33,10 +33,19 @@ def month_documents(bars: DataFrame, dim: DataFrame, interval: str = "5m", zone:
     return out.withColumns({"interval": F.lit(interval), "timezone": F.lit(zone)})
 
 
+def panel_documents(bars: DataFrame, dim: DataFrame, updated: str) -> DataFrame:
+    """The whole panel as nested documents, an entry a symbol: (lastUpdated, symbols: symbol -> its metadata and
+    rows). One document of all symbols would be a single row as large as the panel; read these as one map."""
+    rows = bars.select(F.col("symbol").cast("string").alias("symbol"), F.struct(F.col("dt").alias("date"), *BAR[:4], F.col("volume").cast("long").alias("volume")).alias("r"))
+    per = rows.groupBy("symbol").agg(F.array_sort(F.collect_list("r")).alias("data"))
+    named = per.join(dim.withColumn("symbol", F.col("symbol").cast("string")), "symbol")
+    return named.select(F.lit(updated).alias("lastUpdated"), F.create_map("symbol", F.struct("name", "sector", "industry", "data")).alias("symbols"))
+
+
 def write_documents(docs: DataFrame, path: str, by: list[str]) -> None:
-    """JSON partitioned by ``by``; only partitions with rows are replaced. Rows of a partition come
-    together first, so that each has few files."""
-    docs.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
+    """JSON partitioned by ``by``; only partitions with rows are replaced. Rows of a partition come together
+    first, so that each has few files; adaptive execution splits a partition that most rows belong to."""
+    docs.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
 
 
 def write_snapshot(df: DataFrame, path: str, kind: str = "parquet") -> None:
@@ -73,9 +82,10 @@ def missing_years(bars: DataFrame, existing: DataFrame) -> DataFrame:
 
 def metadata(scores: DataFrame, retention_days: int = 1000) -> DataFrame:
     """One row: first and last date, symbols, dates."""
-    return scores.agg(
-        F.min("dt").alias("start_date"), F.max("dt").alias("end_date"), F.countDistinct("symbol").alias("total_symbols"), F.countDistinct("dt").alias("total_days"), F.lit(retention_days).cast("long").alias("retention_days")
-    )
+    days, symbols = scores.select("dt").distinct(), scores.select("symbol").distinct()
+    spans = days.agg(F.min("dt").alias("start_date"), F.max("dt").alias("end_date"), F.count("dt").alias("total_days"))
+    one = spans.crossJoin(symbols.agg(F.count("symbol").alias("total_symbols")))  # a row each
+    return one.select("start_date", "end_date", "total_symbols", "total_days", F.lit(retention_days).cast("long").alias("retention_days"))
 
 
 def deletion_plan(keys: DataFrame, prefixes: list[str], batch: int = 1000) -> DataFrame:

@@ -95,6 +95,11 @@ def inject(universe: DataFrame, rows: DataFrame) -> DataFrame:
     return universe.join(rows.select("symbol"), "symbol", "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
+def without(universe: DataFrame, symbols: Sequence) -> DataFrame:
+    """The universe without some symbols; rows without a symbol stay."""
+    return universe.where(~F.coalesce(F.col("symbol").isin(*symbols), F.lit(False)))
+
+
 def classified(listing: DataFrame) -> DataFrame:
     """Domestic shares of the three segments, with the segment's short name, without unclassified ones,
     one row per symbol."""

@@ -1,6 +1,6 @@
 """The queries by name, with their SQL."""
 
-from meadowlark.plans import facts, keys, prices, series, small  # noqa: F401
+from meadowlark.plans import facts, files, keys, prices, series, small  # noqa: F401
 from meadowlark.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

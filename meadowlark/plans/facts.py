@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meadowlark.operators import fundamentals, rank, universe
+from meadowlark.operators import fundamentals, universe
 from meadowlark.plans.registry import query
+from meadowlark.sources import readers
 from meadowlark.sources.derived import table
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -60,7 +61,7 @@ def universe_counts(spark, sf):
 
 @query("symbol_list", "SELECT DISTINCT o_custkey AS symbol FROM orders WHERE o_custkey IS NOT NULL")
 def symbol_list(spark, sf):
-    return table(spark, sf, "orders").select(F.col("o_custkey").alias("symbol")).dropna().distinct()
+    return readers.symbols(table(spark, sf, "orders").select(F.col("o_custkey").alias("symbol")))
 
 
 _QUARTERS = """src AS (
@@ -146,21 +147,3 @@ def ttm_revenue(spark, sf):
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
     q = o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_nationkey").alias("symbol"), F.trunc("o_orderdate", "quarter").alias("date")).agg(F.round(F.sum("o_totalprice"), 2).alias("revenue"))
     return fundamentals.trailing_sum(q, "symbol", "date", "revenue", 4, "ttm").select("symbol", "date", F.round("ttm", 2).alias("ttm"))
-
-
-@query(
-    "estimates_projection",
-    "SELECT c_mktsegment AS symbol, year(o_orderdate) AS year, round(min(o_totalprice), 6) AS revenueLow, round(max(o_totalprice), 6) AS revenueHigh, round(avg(o_totalprice), 6) AS revenueAvg, count(*) AS numAnalystsRevenue FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
-)
-def estimates_projection(spark, sf):
-    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
-    t = F.col("o_totalprice")
-    return o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_mktsegment").alias("symbol"), F.year("o_orderdate").cast("long").alias("year")).agg(
-        F.round(F.min(t), 6).alias("revenueLow"), F.round(F.max(t), 6).alias("revenueHigh"), F.round(F.avg(t), 6).alias("revenueAvg"), F.count("*").alias("numAnalystsRevenue")
-    )
-
-
-@query("float_snapshot", "SELECT o_custkey AS symbol, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) = 1")
-def float_snapshot(spark, sf):
-    order = [F.desc("o_orderdate"), F.desc("o_orderkey"), F.desc("o_totalprice")]
-    return rank.top(table(spark, sf, "orders"), 1, ["o_custkey"], order).select(F.col("o_custkey").alias("symbol"), "o_orderkey", "o_totalprice")

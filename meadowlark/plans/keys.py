@@ -10,7 +10,7 @@ from meadowlark.operators import publish, quality
 from meadowlark.plans import sql
 from meadowlark.plans.prices import bars_of
 from meadowlark.plans.registry import query
-from meadowlark.sources import derived
+from meadowlark.sources import derived, readers
 
 YEAR, AS_OF = 1997, "1998-06-29"
 
@@ -44,6 +44,18 @@ def freeze_plan_year_future(spark, sf):
     return publish.freeze_years(keys.select("key", scalars.year_of_key(F.col("key")).alias("year")), existing(keys), YEAR, future_open=True)
 
 
+@query("freeze_plan_forced", f"WITH {sql.KEYS}, y AS (SELECT key, {_YEAR} AS year FROM keys) SELECT key, year, CASE WHEN year = {YEAR} THEN 'current' WHEN key NOT IN (SELECT key FROM existing) THEN 'missing' ELSE 'forced' END AS reason FROM y")
+def freeze_plan_forced(spark, sf):
+    """A dry run with the override: all keys, and why each would be written."""
+    keys = all_keys(spark, sf)
+    return publish.freeze_years(keys.select("key", scalars.year_of_key(F.col("key")).alias("year")), existing(keys), YEAR, force=True)
+
+
+@query("deletion_plan", f"WITH {sql.KEYS} SELECT key FROM keys WHERE key LIKE 'scores/RS_scores/%'")
+def deletion_plan(spark, sf):
+    return publish.deletion_plan(all_keys(spark, sf), [*quality.DEPRECATED, "scores/RS_scores/"], 10).where("batch >= 0").select("key")
+
+
 _MONTHS = f"""{sql.BARS}, k AS (SELECT DISTINCT symbol, year(dt) AS year, month(dt) AS month, 'stocks/intraday/5min/' || year(dt) || '/' || lpad(month(dt)::VARCHAR, 2, '0') || '/' || symbol || '.json' AS key FROM bars),
 s AS (SELECT *, date_diff('day', last_day(make_date(year, month, 1)), DATE '{AS_OF}') <= 60 AS o FROM k)"""
 
@@ -67,8 +79,8 @@ def write_missing_years(spark, sf):
 @query("years_per_symbol", f"WITH {sql.BARS} SELECT symbol, count(DISTINCT year(dt)) AS n_years, min(year(dt)) AS first_year FROM bars GROUP BY 1")
 def years_per_symbol(spark, sf):
     keys = derived.core_keys(bars_of(spark, sf))
-    sets = keys.groupBy("symbol").agg(F.array_sort(F.collect_set(scalars.year_of_key(F.col("key")))).alias("years"))
-    return sets.select("symbol", F.size("years").cast("long").alias("n_years"), F.array_min("years").alias("first_year"))
+    sets = readers.years_by_symbol(keys)
+    return sets.select(F.col("symbol").cast("long").alias("symbol"), F.size("years").cast("long").alias("n_years"), F.array_min("years").alias("first_year"))
 
 
 _SIZE = "CASE WHEN bytes < 1024 THEN printf('%.2f B', bytes::DOUBLE) WHEN bytes < 1048576 THEN printf('%.2f KB', bytes / 1024.0e0) WHEN bytes < 1073741824 THEN printf('%.2f MB', bytes / 1048576.0e0) ELSE printf('%.2f GB', bytes / 1073741824.0e0) END"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meadowlark.operators import market, merge, quality
+from meadowlark.operators import market, merge, publish, quality
 from meadowlark.plans import sql
 from meadowlark.plans.prices import bars_of, rounded
 from meadowlark.plans.registry import query
@@ -14,9 +14,14 @@ from meadowlark.sources import derived, readers
 ERA_DATES = ["S49.9.24", "H1.1.4", "R6.6.30", "H31.4.30", "X1.1.1", "R6.13.1", "-"]
 
 
-def single(df: DataFrame, column: str) -> DataFrame:
-    """A column to single precision: these sums end in decimal ties, which rounding would decide by noise."""
-    return df.withColumn(column, F.col(column).cast("float").cast("double"))
+def settled(df: DataFrame, column: str) -> DataFrame:
+    """A column to six places. These means end in decimal ties, which plain rounding would decide by noise in
+    the last bit: so what is cut off starts at an odd place, where no short decimal lies."""
+    return df.withColumn(column, (F.floor(F.col(column) * 1e6 + 0.3141592653589) / 1e6).cast("double"))
+
+
+def settled_sql(value: str) -> str:
+    return f"CAST(floor(({value}) * 1e6 + 0.3141592653589e0) / 1e6 AS DOUBLE)"
 
 
 def sectors(spark, sf) -> DataFrame:
@@ -25,13 +30,13 @@ def sectors(spark, sf) -> DataFrame:
 
 @query(
     "yield_unpivot",
-    """WITH r AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS dt, avg(l_discount)::FLOAT::DOUBLE AS y2, avg(l_tax)::FLOAT::DOUBLE AS y10, avg(l_extendedprice)::FLOAT::DOUBLE AS y30 FROM lineitem GROUP BY 1),
+    f"""WITH r AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS dt, {settled_sql("avg(l_discount)")} AS y2, {settled_sql("avg(l_tax)")} AS y10, {settled_sql("avg(l_extendedprice)")} AS y30 FROM lineitem GROUP BY 1),
 u AS (SELECT dt, 'Y2' AS ticker, y2 AS y FROM r UNION ALL SELECT dt, 'Y10', y10 FROM r UNION ALL SELECT dt, 'Y30', y30 FROM r)
 SELECT dt, ticker, y AS open, y AS high, y AS low, y AS close, CAST(NULL AS BIGINT) AS volume FROM u WHERE y IS NOT NULL""",
 )
 def yield_unpivot(spark, sf):
     rates = derived.table(spark, sf, "lineitem").groupBy(F.trunc("l_shipdate", "week").alias("dt")).agg(F.avg("l_discount").alias("year2"), F.avg("l_tax").alias("year10"), F.avg("l_extendedprice").alias("year30"))
-    rates = single(single(single(rates, "year2"), "year10"), "year30")
+    rates = settled(settled(settled(rates, "year2"), "year10"), "year30")
     return market.yields_as_bars(rates, {"year2": "Y2", "year10": "Y10", "year30": "Y30"})
 
 
@@ -40,11 +45,11 @@ def era_date(spark, sf):
     return spark.createDataFrame([(x,) for x in ERA_DATES], "era string").select("era", readers.era_date(F.col("era")).alias("dt"))
 
 
-@query("market_transpose", f"WITH {sql.SERIES} SELECT year(dt) AS year, dt, ticker, close::FLOAT::DOUBLE AS close, volume FROM series")
+@query("market_transpose", f"WITH {sql.SERIES} SELECT year(dt) AS year, dt, ticker, {settled_sql("close")} AS close, volume FROM series")
 def market_transpose(spark, sf):
     days = market.by_date(sectors(spark, sf), ["close", "volume"])
     rows = days.select("year", "dt", F.explode("bars").alias("ticker", "bar"))
-    return single(rows.select("year", "dt", "ticker", "bar.close", "bar.volume"), "close")
+    return settled(rows.select("year", "dt", "ticker", "bar.close", "bar.volume"), "close")
 
 
 @query("market_year_documents", f"WITH {sql.SERIES} SELECT year(dt) AS year, count(DISTINCT ticker) AS tickers, count(DISTINCT dt) AS dates, count(*) AS bars FROM series GROUP BY 1")
@@ -59,9 +64,9 @@ def series_ratio(spark, sf):
     return rounded(market.ratio(sectors(spark, sf), "ASIA", "EUROPE"), "value")
 
 
-@query("series_spread", f"WITH {sql.SERIES} SELECT a.dt, (a.close - b.close)::FLOAT::DOUBLE AS value FROM series a JOIN series b USING (dt) WHERE a.ticker = 'ASIA' AND b.ticker = 'AMERICA'")
+@query("series_spread", f"WITH {sql.SERIES} SELECT a.dt, {settled_sql("a.close - b.close")} AS value FROM series a JOIN series b USING (dt) WHERE a.ticker = 'ASIA' AND b.ticker = 'AMERICA'")
 def series_spread(spark, sf):
-    return single(market.ratio(sectors(spark, sf), "ASIA", "AMERICA", difference=True), "value")
+    return settled(market.ratio(sectors(spark, sf), "ASIA", "AMERICA", difference=True), "value")
 
 
 _LISTED = "listed AS (SELECT DISTINCT r_name AS ticker FROM region UNION ALL SELECT 'NOWHERE')"
@@ -141,11 +146,10 @@ def bars_5min(spark, sf):
     f"WITH {_FIVE}, l AS (SELECT symbol, timezone('America/New_York', timezone('UTC', ts)) AS t, n FROM five) SELECT symbol, year(t) AS year, lpad(month(t)::VARCHAR, 2, '0') AS month, count(*) AS bars, sum(n)::BIGINT AS events, strftime(min(t), '%Y-%m-%dT%H:%M:%S') AS first FROM l GROUP BY 1, 2, 3",
 )
 def intraday_month(spark, sf):
-    from meadowlark.functions.scalars import local_time
-
-    bars = derived.bars_5min(derived.table(spark, sf, "events"))
-    local = bars.withColumn("t", F.from_utc_timestamp(F.col("ts").cast("timestamp"), "America/New_York"))
-    return local.groupBy("symbol", F.year("t").cast("long").alias("year"), F.lpad(F.month("t").cast("string"), 2, "0").alias("month")).agg(F.count("*").alias("bars"), F.sum("n").alias("events"), F.min(local_time(F.col("ts").cast("timestamp"))).alias("first"))
+    bars = derived.bars_5min(derived.table(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp")).withColumnRenamed("n", "volume")
+    docs = publish.month_documents(bars, bars.select("symbol").distinct())
+    events = F.aggregate("data", F.lit(0).cast("long"), lambda n, r: n + r["volume"])
+    return docs.select("symbol", "year", "month", F.size("data").cast("long").alias("bars"), events.alias("events"), F.date_format(F.col("data")[0]["local"], "yyyy-MM-dd'T'HH:mm:ss").alias("first"))
 
 
 @query("field_type_check", "SELECT json_field AS field, CASE WHEN v IS NULL THEN 'null' WHEN regexp_matches(v, '^-?[0-9]+$') THEN 'integer' ELSE 'string' END AS type, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS json_field, unnest(list_transform(json_keys(props), lambda k: json_extract_string(props, k))) AS v FROM events) GROUP BY 1, 2")

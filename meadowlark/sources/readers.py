@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ def universe(spark: SparkSession, path: str) -> DataFrame:
     """(symbol, name, sector, industry); of rows with the same symbol the last in the file counts."""
     rows = with_line(csv(spark, path, schemas.UNIVERSE))
     named = rows.select(F.col("Symbol").alias("symbol"), F.coalesce("Company Name", "Symbol").alias("name"), F.coalesce("Sector", F.lit("N/A")).alias("sector"), F.coalesce("Industry", F.lit("N/A")).alias("industry"), "line")
-    return first_rows(named.where("symbol is not null"), ["symbol"], [F.desc("line")])
+    return first_rows(named.where("symbol is not null"), ["symbol"], [F.desc("line")]).drop("line")
 
 
 def universe_jp(spark: SparkSession, path: str, dedup: bool = True) -> DataFrame:
@@ -49,9 +52,9 @@ def symbols(universe: DataFrame, distinct: bool = True) -> DataFrame:
     return out.distinct().orderBy("symbol") if distinct else out
 
 
-def nested_panel(spark: SparkSession, path: str) -> DataFrame:
-    """Bars from a document of symbols, each with an array of rows."""
-    docs = spark.read.schema(schemas.NESTED_PANEL).option("multiLine", True).json(path)
+def nested_panel(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Bars from a document of symbols, each with an array of rows; or (``lines``) from a document a line."""
+    docs = spark.read.schema(schemas.NESTED_PANEL).option("multiLine", not lines).json(path)
     per = docs.select(F.explode("symbols").alias("symbol", "doc"))
     return per.select("symbol", "doc.name", "doc.sector", "doc.industry", F.explode("doc.data").alias("r")).select("symbol", "name", "sector", "industry", F.col("r.date").alias("dt"), "r.open", "r.high", "r.low", "r.close", "r.volume")
 
@@ -91,12 +94,23 @@ def era_date(text: Column) -> Column:
     return F.when(part(1) != "", F.try_make_timestamp(number(2) + F.try_element_at(offset, part(1)), number(3), number(4), F.lit(0), F.lit(0), F.lit(0)).cast("date"))
 
 
+@contextmanager
+def any_charset(spark: SparkSession) -> Iterator[None]:
+    """Lets expressions and writers made here use all of Java's charsets; Spark's own list lacks Shift-JIS."""
+    name = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def government_bonds(spark: SparkSession, path: str, tenor: str = "10年") -> DataFrame:
     """(dt, yield) of one tenor from the ministry's CSV: Shift-JIS, a title line, a header, era dates,
     ``-`` for missing. Files are small and read whole, so that the header names the column."""
-    # Spark's own decoders don't know Shift-JIS
-    decoded = F.udf(lambda raw: raw.decode("cp932", "replace"), "string")
-    whole = spark.read.format("binaryFile").load(path).select(decoded("content").alias("text"))
+    with any_charset(spark):
+        whole = spark.read.format("binaryFile").load(path).select(F.decode("content", "windows-31j").alias("text"))
     lines = whole.select(F.split("text", r"\r?\n").alias("lines"))
     place = F.array_position(F.split(F.col("lines")[1], ","), tenor)
     rows = lines.select(place.alias("place"), F.explode(F.slice("lines", F.lit(3), F.greatest(F.size("lines") - 2, F.lit(0)))).alias("line"))
