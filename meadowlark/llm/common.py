@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import shutil
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -15,42 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where none is set (tests)."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="meadowlark-")
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-#: The folders of this process by application, for ``release``.
-_MADE: dict[str, list[str]] = {}
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
-
-
-def release(spark: SparkSession) -> int:
-    """Deletes what this application's operators have staged in the shared folder, and returns the number of
-    folders. To be called once their results are written: DataFrames made from them can't be read after it.
-    What an application left that never called it lies there until whoever owns the folder clears it."""
-    made = _MADE.pop(spark.sparkContext.applicationId, [])
-    for path in made:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    return len(made)
+from meadowlark.sources.derived import table  # noqa: F401
+from meadowlark.sources.scratch import fresh_path, release, shared_dir  # noqa: F401
 
 
 def file_system(path: str):

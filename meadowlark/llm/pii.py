@@ -27,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meadowlark.functions.arrays import bound, states
 from meadowlark.llm.common import col, without
 
 BASE = ("email", "ip", "card", "phone")
@@ -116,32 +117,12 @@ def confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once, though lambdas of ``use`` refer to it often."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def states(items: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """The number that ``step(number, item)`` has made of 0 before each item, from first to last. Loops copy
-    what they gather at every step: so one gathers a number a chunk, and one a chunk's numbers."""
-    start = lambda at: F.struct(at.alias("at"), F.expr("cast(array() as array<bigint>)").alias("out"))
-    add = lambda s, at: F.struct(at.alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
-    zero = F.lit(0).cast("bigint")
-
-    def of(chunks: Column) -> Column:
-        begins = F.aggregate(chunks, start(zero), lambda s, c: add(s, F.aggregate(c, s["at"], step)), lambda s: s["out"])
-        return bound(begins, lambda b: F.flatten(F.transform(chunks, lambda c, i: F.aggregate(c, start(F.get(b, i)), lambda s, x: add(s, step(s["at"], x)), lambda s: s["out"]))))
-
-    cut_up = lambda given: F.transform(F.sequence(F.lit(0), F.floor(F.size(given) / CHUNK).cast("int")), lambda i: F.slice(given, i * CHUNK + 1, F.lit(CHUNK)))
-    return bound(bound(items, cut_up), of)
-
-
 def matches(gaps: Column, values: Column) -> Column:
     """The places of the matches ``values`` between ``gaps``: start, end (exclusive) in code points, value."""
     sizes = F.transform(values, lambda v, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(v).alias("own"), v.alias("value")))
 
     def placed(given: Column) -> Column:
-        before = states(F.transform(given, lambda x: x["gap"] + x["own"]), lambda at, x: at + x)
+        before = states(F.transform(given, lambda x: x["gap"] + x["own"]), lambda at, x: at + x, F.lit(0), chunk=CHUNK)
         return F.zip_with(given, before, lambda x, at: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["own"]).alias("end"), x["value"].alias("value")))
 
     return bound(sizes, placed)
@@ -167,7 +148,7 @@ def account_numbers(text: Column) -> Column:
         return F.struct(x["head"]["start"].alias("start"), F.try_element_at(passing, F.lit(1)).alias("value"))
 
     def first_ones(found: Column) -> Column:
-        before = states(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))), lambda at, x: F.when(x["start"] >= at, x["end"]).otherwise(at))
+        before = states(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))), lambda at, x: F.when(x["start"] >= at, x["end"]).otherwise(at), F.lit(0), chunk=CHUNK)
         marked = F.zip_with(found, before, lambda x, at: F.struct(x.alias("span"), (x["start"] >= at).alias("fresh")))
         return F.transform(F.filter(marked, lambda x: x["fresh"]), lambda x: x["span"])
 
@@ -259,7 +240,7 @@ def masked(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
 
     def rebuilt(cells: Column) -> Column:
         def put(given: Column) -> Column:
-            before = states(F.transform(given, lambda x: x["end"]), lambda at, x: F.greatest(at, x))
+            before = states(F.transform(given, lambda x: x["end"]), lambda at, x: F.greatest(at, x), F.lit(0), chunk=CHUNK)
             return F.array_join(F.zip_with(given, before, lambda x, at: F.when(x["start"] >= at, F.concat(stretch(cells, at, x["start"]), x["tag"])).otherwise("")), "")
 
         return bound(items, put)
