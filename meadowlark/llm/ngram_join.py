@@ -286,7 +286,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     labels = connected(stars).join(nodes.select("node", "copy"), "node")
     heads = labels.groupBy("label").agg(F.min("copy").alias("first"))
     linked = labels.join(heads, "label").join(stars.groupBy("node").agg(F.sum("links").alias("links")), "node").select("node", "first", "links")
-    by_text = nodes.select("node", "copy").join(linked, "node", "left").withColumnRenamed("node", "digest")
+    # staged, so that a text with a third of the rows makes a join of two plain shuffles, which Spark can split
+    by_text = staged(nodes.select("node", "copy").join(linked, "node", "left").withColumnRenamed("node", "digest"), "by-text")
     members = signed.select("doc_id", "text_hash", "digest").join(by_text, "digest", "left")
     return members.select("doc_id", "text_hash", F.coalesce("first", "copy").alias("first"), "copy", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
