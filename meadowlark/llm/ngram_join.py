@@ -8,8 +8,8 @@ linked if the sets' Jaccard similarity is 0.8 or more.
 2. Bands of five values propose candidates: texts that share a bucket. A bucket of more than ``TILE``
    members or ``WORDS`` shingles is cut into blocks, and each pair of blocks is a tile of its own, so that
    no task holds a whole bucket and no pair is ever a row.
-3. In a tile a pair that shares an earlier band is left to that one. The MinHash values of the others are
-   compared 20 at a time; a pair is dropped when the posterior probability that its similarity reaches the
+3. In a tile a pair that shares an earlier band (by a 64-bit hash) is left to that one. The MinHash values
+   of the others are compared 20 at a time; a pair is dropped when the posterior probability that its similarity reaches the
    threshold falls below ``TOLERANCE``. Of the tile stay the texts that have a pair left.
 4. Their texts are fetched, once a node, and go to their tiles; there the pairs are found once more and
    their shingle sets are compared exactly. A tile reports, for each text, its number of links and the
@@ -42,7 +42,7 @@ N, THRESHOLD = 5, Fraction(4, 5)
 ROWS, BANDS = 5, 25
 VALUES = ROWS * BANDS
 STEP, TOLERANCE = 20, 1e-5
-TILE, WORDS = 512, 2_000_000
+TILE, WORDS = 1024, 2_000_000
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, VALUES, dtype=np.uint64)
@@ -112,38 +112,46 @@ def needed(n: int) -> int:
     return n
 
 
-def likely(signs: np.ndarray, left: np.ndarray, right: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that have no earlier band in common and survive pruning. The values of the band that
-    proposed them are left out: they are equal by selection."""
-    for earlier in range(band):
-        cut = slice(earlier * ROWS, (earlier + 1) * ROWS)
-        fresh = (signs[left, cut] != signs[right, cut]).any(1)
-        left, right = left[fresh], right[fresh]
-    rest = np.delete(np.arange(VALUES), slice(band * ROWS, (band + 1) * ROWS))
+def band_codes(signs: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each band's values, a row a text."""
+    values = signs.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    out = np.zeros(values.shape[:2], np.uint64)
+    for i in range(ROWS):
+        out = mix(out ^ values[:, :, i])
+    return out
+
+
+def likely(others: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that survive pruning. ``others`` are the MinHash values without those of the band that
+    proposed the pairs: these are equal by selection."""
     equal = np.zeros(len(left), np.int32)
-    for at in range(0, len(rest), STEP):
-        part = rest[at : at + STEP]
-        equal += (signs[left][:, part] == signs[right][:, part]).sum(1, dtype=np.int32)
-        keep = equal >= needed(min(at + STEP, len(rest)))
+    for at in range(0, others.shape[1], STEP):
+        part = others[:, at : at + STEP]
+        equal += (part[left] == part[right]).sum(1, dtype=np.int32)
+        keep = equal >= needed(at + part.shape[1])
         left, right, equal = left[keep], right[keep], equal[keep]
         if not len(left):
             break
     return left, right
 
 
-def pairs_of(block: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a tile, some ten thousand at a time."""
-    held, n = [], 0
+def pairs_of(block: np.ndarray, low: int, high: int, earlier: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a tile that have no code of ``earlier`` bands in common, some ten thousand at a time.
+    Bands are compared a row against a block, so that near copies, which share most bands, cost little."""
     right = np.arange(len(block)) if low == high else np.flatnonzero(block == high)
-    for i in np.arange(len(block)) if low == high else np.flatnonzero(block == low):
-        some = right[i + 1 :] if low == high else right
-        held.append((np.full(len(some), i), some))
-        n += len(some)
-        if n >= 1 << 14:
-            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
-            held, n = [], 0
-    if held:
-        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+    left = right if low == high else np.flatnonzero(block == low)
+    codes = np.ascontiguousarray(earlier[right].T)
+    step = max(1, (1 << 14) // max(len(right), 1))
+    for at in range(0, len(left), step):
+        some = left[at : at + step]
+        fresh = some[:, None] < right if low == high else np.ones((len(some), len(right)), bool)
+        for own, code in zip(earlier[some].T, codes, strict=True):
+            fresh &= own[:, None] != code
+            if not fresh.any():
+                break
+        i, j = np.nonzero(fresh)
+        if len(i):
+            yield some[i], right[j]
 
 
 def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]]:
@@ -157,8 +165,10 @@ def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.n
             once = [i for i, x in enumerate(nodes) if not i or x != nodes[i - 1]]  # a lost task's rows can come twice
             tile = part.slice(s, e - s).take(once)
             signs = np.frombuffer(b"".join(tile.column("sign").to_pylist()), np.uint32).reshape(-1, VALUES)
-            low, high, band, block = (tile.column(c).to_numpy() for c in ("low", "high", "band", "block"))
-            yield tile, signs, (likely(signs, *some, int(band[0])) for some in pairs_of(block, low[0], high[0]))
+            low, high, block = (tile.column(c).to_numpy() for c in ("low", "high", "block"))
+            band = tile.column("band")[0].as_py()
+            others = np.delete(signs, slice(band * ROWS, (band + 1) * ROWS), axis=1)
+            yield tile, signs, (likely(others, *some) for some in pairs_of(block, low[0], high[0], band_codes(signs)[:, :band]))
 
 
 def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,13 +188,17 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values = np.concatenate(sets)
     order = np.argsort(values, kind="stable")
-    row, at = row[order], np.cumsum(np.concatenate([[0], np.diff(values[order]) != 0]))
-    both = np.zeros((len(sets), len(sets)))
-    for low in range(0, int(at[-1]) + 1, 4096):  # of all shingles, so many at a time
+    row, values = row[order], values[order]
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    counts = np.diff(np.append(starts, len(values)))
+    row, counts = row[np.repeat(counts > 1, counts)], counts[counts > 1]  # a shingle of one text is in no intersection
+    at = np.repeat(np.arange(len(counts)), counts)
+    both = np.zeros((len(sets), len(sets)), np.int32)
+    for low in range(0, len(counts), 4096):  # of all shingles, so many at a time
         a, b = np.searchsorted(at, (low, low + 4096))
         some = np.zeros((len(sets), 4096), np.float32)
         some[row[a:b], at[a:b] - low] = 1
-        both += some @ some.T
+        both += (some @ some.T).astype(np.int32)
     return both[left, right].astype(np.int64)
 
 

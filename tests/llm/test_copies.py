@@ -89,9 +89,24 @@ def test_pruning_keeps_likely_pairs():
     values = np.random.default_rng(0).integers(0, 2**32, (3, ngram_join.VALUES)).astype(np.uint32)
     values[1] = values[0]
     values[1, 7:12] += 1
-    left, right = ngram_join.likely(values, np.array([0, 0, 1]), np.array([1, 2, 2]), 0)
+    left, right = ngram_join.likely(values[:, ngram_join.ROWS :], np.array([0, 0, 1]), np.array([1, 2, 2]))
     assert list(zip(left, right)) == [(0, 1)]
-    assert not len(ngram_join.likely(values, np.array([0]), np.array([1]), 3)[0])  # band 0 has it already
+    block, codes = np.zeros(3, np.int32), ngram_join.band_codes(values)
+    assert (codes[0] == codes[1]).sum() == ngram_join.BANDS - 2  # 7 to 11 lie in bands 1 and 2
+    pairs = lambda band: [(i, j) for part in ngram_join.pairs_of(block, 0, 0, codes[:, :band]) for i, j in zip(*part)]
+    assert pairs(0) == [(0, 1), (0, 2), (1, 2)]
+    assert pairs(3) == [(0, 2), (1, 2)]  # band 0 has the other already
+
+
+@pytest.mark.parametrize("n", [3, 60])
+def test_overlaps_equal_set_intersections(n):
+    rng = np.random.default_rng(n)
+    common = rng.integers(0, 2**63, 50, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(common, 30), rng.integers(0, 2**63, 5, dtype=np.uint64)])) for _ in range(n)]
+    left, right = np.triu_indices(n, 1)
+    want = [len(set(sets[i].tolist()) & set(sets[j].tolist())) for i, j in zip(left, right)]
+    assert ngram_join.overlaps(sets, left, right).tolist() == want
+    assert ngram_join.overlaps(sets, left[:1], right[:1]).tolist() == want[:1]
 
 
 def test_classes_join_over_tiles(spark):
