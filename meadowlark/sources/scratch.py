@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: The folders of this process by application, for ``release``.
 _MADE: dict[str, list[str]] = {}
@@ -30,6 +30,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Writes ``df`` as Parquet to the shared folder and reads it back: worked out once, whatever reads it
+    later, and a cut in the lineage that any executor can reread."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> int:
     """Deletes what this application has staged in the shared folder, and returns the number of folders. To be
     called once results are written: DataFrames made from them can't be read after it. What an application

@@ -138,3 +138,26 @@ def test_scalars(spark):
     assert get(scalars.with_suffix(F.lit("130A"))) == "130A.T" and get(scalars.with_suffix(F.lit("^N225"))) == "^N225"
     assert get(scalars.without_suffix(F.lit("1306.T"))) == "1306" and get(scalars.without_suffix(F.lit("A"))) == "A"
     assert get(scalars.rounded(F.lit(0.125), 2)) == 0.13 and get(scalars.rounded(F.lit(0.125), 2, "even")) == 0.12
+
+
+def test_ranks_of_one_hot_group(spark):
+    """All rows in one group, a third of them with one value: the spread form equals the window form."""
+    i = F.col("id")
+    df = spark.range(4000).select("id", F.lit("d").alias("d"), F.when(i % 11 != 0, F.when(i % 3 == 0, 7).otherwise(F.floor(F.sqrt("id")))).cast("double").alias("v"))
+    want = rank.percentile(df, "v", ["d"], "p", "r")
+    got = rank.percentile_spread(df, "v", ["d"], "p", "r").select(want.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == 4000
+    assert rank.percentile_spread(df.limit(0), "v", ["d"], "p").count() == 0
+    groups = df.withColumn("d", F.when(i % 2 == 0, "x"))  # a null group is a group
+    want = rank.percentile(groups, "v", ["d"], "p", "r")
+    assert rank.percentile_spread(groups, "v", ["d"], "p", "r").select(want.columns).exceptAll(want).count() == 0
+    # the windows of the spread form are by group and range, none by the group alone but over a row a range
+    plan = rank.percentile_spread(df, "v", ["d"], "p")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan and "rank(" not in plan
+
+
+def test_numbers_over_ranges(spark):
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), "id")
+    got = [(r.k, r.id) for r in rank.numbered(df, [F.desc("k"), F.asc("id")]).orderBy("n").collect()]
+    assert got == sorted(((i % 7, i) for i in range(3000)), key=lambda x: (-x[0], x[1]))
+    assert rank.numbered(df.limit(0), [F.asc("id")]).count() == 0
