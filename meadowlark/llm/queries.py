@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import chat_format, decontaminate, lang_id, media_sniff, mixing, ngram_join, oracles, pii, pipeline, suffix_dedup, token_counts, warc_revisit
+from meadowlark.llm import chat_format, decontaminate, hard_negatives, importance, lang_id, media_sniff, mixing, ngram_join, oracles, pii, pipeline, suffix_dedup, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.negatives_digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -64,6 +72,8 @@ def queries() -> dict[str, Query]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_media_columns": op9_media_columns,
         "op10_pii": op10_pii,
+        "op11_importance": op11_importance,
+        "op12_hard_negatives": op12_hard_negatives,
         "pipeline": pipeline.run,
     }
 
