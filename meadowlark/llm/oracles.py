@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meadowlark.llm import hard_negatives, importance, pii, warc_revisit
+from meadowlark.llm import hard_negatives, html_text, importance, pii, warc_revisit
 
 _WORDS = r"""d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> '') AS w FROM documents),
 k AS (SELECT doc_id, w, array_to_string(w, ' ') AS t FROM d)"""
@@ -94,4 +94,4 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS)},
 FROM d LEFT JOIN g ON g.doc_id = d.doc_id
 """
 
-SQL = {"op1_ngram_join": NGRAM_JOIN, "op2_suffix_dedup": PASSAGES, "op6_chat_format": CHAT, "op8_warc_revisits": warc_revisit.ORACLE, "op10_pii": PII, "op11_importance": importance.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
+SQL = {"op1_ngram_join": NGRAM_JOIN, "op2_suffix_dedup": PASSAGES, "op6_chat_format": CHAT, "op8_warc_revisits": warc_revisit.ORACLE, "op10_pii": PII, "op11_importance": importance.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE, "op13_html_text": html_text.ORACLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meadowlark.llm import chat_format, decontaminate, hard_negatives, importance, lang_id, media_sniff, mixing, ngram_join, oracles, pii, pipeline, suffix_dedup, token_counts, warc_revisit
+from meadowlark.llm import chat_format, decontaminate, hard_negatives, html_text, importance, lang_id, media_sniff, mixing, ngram_join, oracles, pii, pipeline, suffix_dedup, token_counts, warc_revisit
 from meadowlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.negatives_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.pages_digest(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op10_pii": op10_pii,
         "op11_importance": op11_importance,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_html_text": op13_html_text,
         "pipeline": pipeline.run,
     }
 
