@@ -50,6 +50,31 @@ def ema(bars: DataFrame, span: int = 21, value: str = "close", out: str = "ema")
     return done.select("symbol", "r.dt", F.col("r.x").alias(value), F.col("r.e").alias(out))
 
 
+def ema_scan(bars: DataFrame, bucket: Column, span: int = 21, value: str = "close", order: str = "dt", rows_at_once: int = 256) -> DataFrame:
+    """Adds ``ema`` to the rows with a value, for symbols of any length, without gathering their rows.
+
+    e = a x + q e' (q = 1 - a) over a chunk of rows is one affine map of what came before it. A chunk is at most
+    ``rows_at_once`` rows of a symbol's ``bucket`` (a day of intraday bars, a year of daily ones), which has to grow with
+    ``order``. Within a chunk sums of x / q^i, all of one size of numbers, give each row's own part; the chunks' maps
+    are one pair each, composed in order from the symbol's first value on."""
+    a = 2.0 / (span + 1)
+    q = 1 - a
+    if q <= 0:
+        return bars.where(F.col(value).isNotNull()).withColumn("ema", F.col(value).cast("double"))
+    by_bucket = Window.partitionBy("symbol", "_bucket").orderBy(order)
+    numbered = bars.where(F.col(value).isNotNull()).withColumn("_bucket", bucket).withColumn("_at", F.row_number().over(by_bucket) - 1)
+    cut = numbered.withColumns({"_chunk": F.floor(F.col("_at") / rows_at_once), "_i": F.col("_at") % rows_at_once + 1})
+    within = Window.partitionBy("symbol", "_bucket", "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    own = cut.withColumn("_own", F.sum(a * F.col(value) / F.pow(F.lit(q), F.col("_i"))).over(within))
+    maps = own.groupBy("symbol", "_bucket", "_chunk").agg(F.max("_i").alias("n"), F.max_by("_own", "_i").alias("s"), F.min_by(value, "_i").cast("double").alias("x"))
+    gathered = maps.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("_bucket", "_chunk", "n", "s", "x"))).alias("m"))  # a pair a chunk
+    start = gathered.withColumn("_x", F.col("m")[0]["x"])
+    before = states(F.col("m"), lambda e, m: F.pow(F.lit(q), m["n"]) * (e + m["s"]), F.col("_x"), "double")
+    told = start.select("symbol", F.explode(F.arrays_zip(F.col("m"), before.alias("b"))).alias("r")).select("symbol", F.col("r.m._bucket").alias("_bucket"), F.col("r.m._chunk").alias("_chunk"), F.col("r.b").alias("_before"))
+    met = own.join(told, ["symbol", "_bucket", "_chunk"])
+    return met.withColumn("ema", F.pow(F.lit(q), F.col("_i")) * (F.col("_before") + F.col("_own"))).select(*bars.columns, "ema")
+
+
 def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     """Adds ``rsi`` of simple means of gains and losses; 100 where there is no loss."""
     moved = bars.withColumn("_d", diff("close"))

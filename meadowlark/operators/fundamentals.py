@@ -37,6 +37,30 @@ def next_announcement(periods: DataFrame, events: DataFrame, key: str, tolerance
     return both.withColumn("_next", first).where("_p = 1").select(*periods.columns, *[F.col(f"_next.e.{f}").alias(f) for f in fields])
 
 
+def next_announcement_sliced(periods: DataFrame, events: DataFrame, key: str, tolerance: int = TOLERANCE, days: int = 30) -> DataFrame:
+    """``next_announcement`` for keys of any size: each key's stream is cut into slices of ``days`` days, and a slice
+    gets one carry row, the first event of those after it. A task holds a key's slice; the carry rows are found from
+    one row a slice. Events that lie further off than ``tolerance`` don't count, wherever they come from."""
+    fields = [c for c in events.columns if c != key]
+    slice_of = lambda d: F.floor(F.unix_date(d) / days)
+    found = events.select(F.col(key).alias("_k"), slice_of(F.col("announced")).alias("_s"), F.struct(F.col("announced").alias("_a"), F.col("idx").alias("_i"), F.struct(*fields).alias("_e")).alias("_first"))
+    asked = periods.select("*", slice_of(F.col("period_end")).alias("_s"), F.monotonically_increasing_id().alias("_row"))
+
+    # the first event of the slices after each slice that has a period or an event
+    heads = found.groupBy("_k", "_s").agg(F.min_by("_first", F.struct("_first._a", "_first._i")).alias("_first"))
+    marks = heads.unionByName(asked.select(F.col(key).alias("_k"), "_s").distinct(), allowMissingColumns=True)
+    later = Window.partitionBy("_k").orderBy("_s").rangeBetween(1, Window.unboundedFollowing)
+    carry = marks.withColumn("_next", F.min(F.when(F.col("_first").isNotNull(), F.struct(F.col("_first._a").alias("a"), F.col("_first._i").alias("i"), F.col("_first._e").alias("e")))).over(later))
+    carry = carry.where("_next is not null").select("_k", "_s", F.col("_next").alias("_ev")).distinct()
+
+    plain = found.select("_k", "_s", F.struct(F.col("_first._a").alias("a"), F.col("_first._i").alias("i"), F.col("_first._e").alias("e")).alias("_ev"))
+    stream = plain.unionByName(carry).withColumn("_d", F.unix_date("_ev.a"))
+    both = stream.unionByName(asked.select(F.col(key).alias("_k"), "_s", F.unix_date("period_end").alias("_d"), F.struct(*periods.columns).alias("_p")), allowMissingColumns=True)
+    ahead = Window.partitionBy("_k", "_s").orderBy("_d").rangeBetween(1, tolerance)
+    out = both.withColumn("_next", F.min("_ev").over(ahead)).where("_p is not null")
+    return out.select(*[F.col("_p")[c].alias(c) for c in periods.columns], *[F.col("_next.e")[f].alias(f) for f in fields])
+
+
 def roe_quarterly(income: Column, equity: Column) -> Column:
     return income / F.nullif(equity, F.lit(0.0)) * 100
 

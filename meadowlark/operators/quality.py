@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meadowlark.functions.scalars import prefix_of_key
@@ -55,13 +55,40 @@ def deprecated(keys: DataFrame, prefixes: list[str] = DEPRECATED) -> DataFrame:
     return hits.groupBy(which.alias("prefix")).agg(F.count("*").alias("files"))
 
 
+#: JSON types by the names that Spark gives the schemas of variants (fixed values).
+_KINDS = {"VOID": "null", "BOOLEAN": "boolean", "STRING": "string", "BIGINT": "integer", "DOUBLE": "double"}
+
+
+def kind_of(value: Column) -> Column:
+    """The JSON type of a variant: null, boolean, string, integer, double, array or object. A number without a
+    fraction is an integer, however it is written (``12.0``): variants hold it as one."""
+    name = F.schema_of_variant(value)
+    known = F.create_map(*[F.lit(x) for kv in _KINDS.items() for x in kv])
+    return F.when(value.isNull(), "null").when(name.startswith("ARRAY<"), "array").when(name.startswith("OBJECT<"), "object").when(name.startswith("DECIMAL("), F.when(name.endswith(",0)"), "integer").otherwise("double")).otherwise(known[name])
+
+
 def field_types(values: DataFrame, column: str, by: list[str] = ()) -> DataFrame:
-    """How often each JSON type occurs in a column of JSON values."""
-    v = F.col(column)
-    kind = F.when(v.isNull() | (v == "null"), "null").when(v.rlike(r"^-?\d+$"), "integer").when(v.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), "double").when(v.isin("true", "false"), "boolean").when(v.startswith("["), "array").when(v.startswith("{"), "object").otherwise("string")
+    """How often each JSON type occurs in a column of JSON texts; what isn't JSON is ``invalid``. A quoted number is a
+    string."""
+    v = F.try_parse_json(F.col(column))
+    kind = F.when(F.col(column).isNotNull() & v.isNull(), "invalid").otherwise(kind_of(v))
     return values.groupBy(*by, kind.alias("type")).agg(F.count("*").alias("n"))
 
 
+def document_types(docs: DataFrame, column: str, depth: int = 3) -> DataFrame:
+    """(field, type, n): the JSON types of all fields of a column of JSON documents, nested ones by their path
+    (``a.b``), down to ``depth`` levels. Fields of objects are rows by ``variant_explode``, level by level, so documents
+    needn't have the same fields."""
+    level = docs.select(F.lit("").alias("_path"), F.try_parse_json(F.col(column)).alias("_v")).where("_v is not null")
+    out = None
+    for _ in range(depth):
+        fields = level.where(F.schema_of_variant("_v").startswith("OBJECT<")).lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+        level = fields.select(F.concat("_path", F.when(F.col("_path") != "", ".").otherwise(""), "key").alias("_path"), F.col("value").alias("_v"))
+        counted = level.groupBy(F.col("_path").alias("field"), kind_of(F.col("_v")).alias("type")).agg(F.count("*").alias("n"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 def invalid_dates(values: DataFrame, column: str) -> DataFrame:
     """Values that aren't written YYYY-MM-DD."""
     return values.where(~F.coalesce(F.col(column).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False)))

@@ -48,3 +48,20 @@ def core_keys(bars: DataFrame) -> DataFrame:
     """(key, size, symbol, year): where a symbol's year document would lie."""
     per = bars.groupBy(F.year("dt").cast("long").alias("year"), "symbol").agg((F.count("*") * 100).alias("size"))
     return per.select(F.concat(F.lit("stocks/daily/core/"), "year", F.lit("/"), "symbol", F.lit(".json")).alias("key"), "size", "symbol", "year")
+
+
+def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(symbol, dt, open, high, low, close, volume): a nation's day of unit prices, by its suppliers."""
+    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    names = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_name").alias("symbol"))
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("dt"), price.alias("price"), order.alias("o"), "l_quantity")
+    rows = rows.join(names, rows.l_suppkey == names.s_suppkey)
+    return rows.groupBy("symbol", "dt").agg(F.min_by("price", "o").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "o").alias("close"), F.sum("l_quantity").cast("long").alias("volume"))
+
+
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(symbol, name, sector, industry) of the daily panel."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("symbol"), F.col("n_name").alias("name"), F.col("r_name").alias("sector"), F.lit("N/A").alias("industry"))
