@@ -10,11 +10,13 @@ def events(spark: SparkSession, folder: str, schema: str, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def bars_5min(events: DataFrame, late: str = "10 minutes") -> DataFrame:
+def bars_5min(events: DataFrame, late: str | None = "10 minutes") -> DataFrame:
     """Five-minute bars of a stream of events. A bar is out once the watermark has passed it; events
-    that come later still are left out, as in a closed period."""
+    that come later still are left out, as in a closed period. ``late`` is None for a stream that has its
+    watermark already, as one from ``once`` has."""
     order = F.struct("ts", "event_id", "value")
-    rows = events.where("value is not null").withWatermark("ts", late).groupBy(F.window("ts", "5 minutes").alias("w"), F.col("event_type").alias("symbol"))
+    marked = events.withWatermark("ts", late) if late else events
+    rows = marked.where("value is not null").groupBy(F.window("ts", "5 minutes").alias("w"), F.col("event_type").alias("symbol"))
     bars = rows.agg(F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", order).alias("close"), F.count("*").alias("n"))
     return bars.select("symbol", F.col("w.start").alias("ts"), "open", "high", "low", "close", "n")
 
