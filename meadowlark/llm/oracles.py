@@ -24,16 +24,17 @@ FROM k LEFT JOIN reps r ON r.t = k.t LEFT JOIN class c ON c.rep = r.rep LEFT JOI
 
 PASSAGES = f"""
 WITH {_WORDS},
-reps AS (SELECT t, min(doc_id) AS rep, count(*) AS copies, any_value(w) AS w FROM k WHERE len(w) >= 50 GROUP BY t),
-win AS (SELECT rep, copies, i - 1 AS s, hash(list_slice(w, i, i + 49)) AS h FROM (SELECT rep, copies, w, unnest(range(1, len(w) - 48)) AS i FROM reps)),
-multi AS (SELECT h FROM win GROUP BY h HAVING min(rep) < max(rep)),
-hit AS (SELECT rep, s FROM win SEMI JOIN multi USING (h) WHERE copies = 1),
-marked AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY rep ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM hit),
-islands AS (SELECT *, sum(fresh) OVER (PARTITION BY rep ORDER BY s) AS island FROM marked),
+x AS (SELECT doc_id, w, md5(t) AS t FROM k WHERE len(w) >= 50 AND doc_id IS NOT NULL),
+texts AS (SELECT t, min(doc_id) AS low, max(doc_id) AS high, any_value(w) AS w FROM x GROUP BY t),
+win AS (SELECT t, CASE WHEN low = high THEN 'id ' || low ELSE t END AS owner, low = high AS single, i - 1 AS s, hash(list_slice(w, i, i + 49)) AS h FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM texts)),
+multi AS (SELECT h FROM win GROUP BY h HAVING min(owner) < max(owner)),
+hit AS (SELECT t, s FROM win SEMI JOIN multi USING (h) WHERE single),
+marked AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY t ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY t ORDER BY s) AS island FROM marked),
 spans AS (
-  SELECT rep AS doc_id, min(s) AS start, max(s) + 50 AS stop FROM islands GROUP BY rep, island
-  UNION ALL SELECT doc_id, 0, len(k.w) FROM k JOIN reps USING (t) WHERE copies > 1)
-SELECT doc_id, start, stop, stop - start AS n_words FROM spans
+  SELECT any_value(low) AS doc_id, min(s) AS start, max(s) + 50 AS stop FROM islands JOIN texts USING (t) GROUP BY t, island
+  UNION ALL SELECT doc_id, 0, len(x.w) FROM x JOIN texts USING (t) WHERE low < high)
+SELECT DISTINCT doc_id, start, stop, stop - start AS n_words FROM spans
 """
 
 CHAT = r"""

@@ -115,21 +115,18 @@ def test_classes_join_over_tiles(spark):
 
 
 def passages(rows):
-    """Brute force: stretches of 50-word windows that two texts have."""
-    rep, where = {}, defaultdict(set)
+    """Brute force: stretches of 50-word windows that texts of two documents have. A document is an id."""
+    ids, where = defaultdict(set), defaultdict(set)
     for i, w in rows:
         if i is not None and len(w) >= 50:
-            rep[w] = min(i, rep.get(w, i))
-    copies = Counter(w for i, w in rows if i is not None)
-    for w, r in rep.items():
+            ids[w].add(i)
+    for w, own in ids.items():
         for s in range(len(w) - 49):
-            where[w[s : s + 50]].add(r)
-    out = []
-    for i, w in rows:
-        if i is None or len(w) < 50:
-            continue
-        if copies[w] > 1:
-            out.append((i, 0, len(w)))
+            where[w[s : s + 50]] |= own
+    out = set()
+    for w, own in ids.items():
+        if len(own) > 1:
+            out |= {(i, 0, len(w)) for i in own}
             continue
         spans = []
         for s in range(len(w) - 49):
@@ -138,10 +135,25 @@ def passages(rows):
                     spans[-1][1] = s + 50
                 else:
                     spans.append([s, s + 50])
-        out += [(i, a, b) for a, b in spans]
+        out |= {(i, a, b) for i in own for a, b in spans}
     return sorted(out)
 
 
+@pytest.mark.parametrize("run", [256, 2])
+def test_passages_of_repeated_rows_and_shared_ids(spark, monkeypatch, run):
+    monkeypatch.setattr(suffix_dedup, "RUN", run)
+    a, b, c, d = (prose(i, 120) for i in (801, 802, 803, 804))
+    part = lambda t, i, j: " ".join(t.split()[i:j])
+    rows = [(5, a), (5, a), (5, a)]  # one document, however often
+    rows += [(6, b + " " + prose(900, 20)), (6, prose(901, 30) + " " + b)]  # two texts of one document
+    rows += [(7, c), (7, "  " + c.replace(" ", "\n")), (7, part(c, 0, 60) + " " + prose(902, 60)), (8, part(c, 30, 90) + " " + prose(903, 9)), (8, part(c, 30, 90) + " " + prose(903, 9))]
+    rows += [(9, d), (10, d), (9, d), (9, part(d, 10, 80) + " x"), (None, a), (None, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.start, r.stop) for r in suffix_dedup.repeated_passages(df).collect())
+    assert got == passages(texts(df))
+    assert got == [(7, 30, 90), (8, 0, 60), (9, 0, 70), (9, 0, 120), (10, 0, 120)]
+
+
 @pytest.mark.parametrize("run", [256, 2])
 def test_passages(corpus, monkeypatch, run):
     monkeypatch.setattr(suffix_dedup, "RUN", run)
