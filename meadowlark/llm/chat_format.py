@@ -1,7 +1,7 @@
 """Chat formatting: token-level assembly.
 
-Each turn's role and text are encoded by themselves and spliced between reserved ids that no text can
-encode to: ``HEAD role BODY text END``. The loss mask comes from marks at the segments' borders, +1
+Each turn's role and text are encoded by themselves and spliced between three reserved ids, the first that the
+vocabulary doesn't use: ``HEAD role BODY text END``. The loss mask comes from marks at the segments' borders, +1
 where an assistant's text begins and -1 where it ends, by a prefix sum. The written form of a turn is
 ``### role: text\\n</turn>\\n``. Where a text holds one of the template's control strings (``### `` or
 ``</turn>``) with n backslashes before it, one more is put before; that is undone by taking one away.
@@ -12,7 +12,9 @@ format it. Readers go through them by conversation and turn as a stream.
 
 Nulls: a null text or role is empty, a null turn comes first, and rows with a null conversation id are
 a conversation. Turns with equal numbers are ordered by role, then by tokens; repeated rows are turns
-of their own. An empty table gives an empty one. Other columns aren't read.
+of their own. An empty table gives an empty one. Other columns aren't read. A turn of any length is encoded as a
+whole: its task holds its text, its ids and the vocabulary (one file of ranks, whatever its number of ids; ids beyond 16
+bits go by four bytes in a shuffle instead of two).
 """
 
 from __future__ import annotations
@@ -27,15 +29,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meadowlark.llm.common import col, map_arrow, ship, slices
-from meadowlark.llm.tokens import FREE, PLAIN, encoder, ranks_file
+from meadowlark.llm.tokens import PLAIN, encoder, first_free, ranks_file
 
-HEAD, BODY, END = FREE, FREE + 1, FREE + 2
 LEARNED = "assistant"
 _CONTROL = re.compile(r"(\\*)(### |</turn>)")
 _ESCAPED = re.compile(r"\\(\\*)(### |</turn>)")
 FORMATTED = "conv_id long, turn long, role string, ids array<int>, loss array<byte>"
 
 
+def reserved(vocabulary: bytes) -> tuple[int, int, int]:
+    """HEAD, BODY and END: ids that no text can encode to."""
+    free = first_free(vocabulary)
+    return free, free + 1, free + 2
+
+
+def width_of(vocabulary: bytes) -> str:
+    """How an id is written in a shuffle: big-endian, so that bytes sort as ids do."""
+    return ">u2" if reserved(vocabulary)[-1] < 1 << 16 else ">u4"
+
+
 def escape(text: str) -> str:
     return _CONTROL.sub(r"\\\1\2", text)
 
@@ -60,7 +72,8 @@ def written(role: str, text: str) -> str:
 def format_turns(turns: DataFrame, vocabulary: bytes | None = None, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per turn: conv_id, turn, role, ``ids`` and ``loss`` (1 where the loss counts)."""
     ship(turns.sparkSession)
-    sent = turns.sparkSession.sparkContext.broadcast(vocabulary or ranks_file(name=PLAIN))
+    vocabulary = vocabulary or ranks_file(name=PLAIN)
+    sent, (head, body, end) = turns.sparkSession.sparkContext.broadcast(vocabulary), reserved(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(sent.value).encode_ordinary
@@ -70,12 +83,12 @@ def format_turns(turns: DataFrame, vocabulary: bytes | None = None, *, conv_id:
                 marks: list[tuple[int, int]] = []
                 ends = [0]
                 for r, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                    ids += [HEAD, *encode(escape_role(r or "")), BODY]
+                    ids += [head, *encode(escape_role(r or "")), body]
                     begin = len(ids)
                     ids += encode(escape(t or ""))
                     if r == LEARNED:
                         marks += [(begin, 1), (len(ids), -1)]
-                    ids.append(END)
+                    ids.append(end)
                     ends.append(len(ids))
                 change = np.zeros(len(ids) + 1, np.int8)
                 for at, by in marks:
@@ -88,14 +101,18 @@ def format_turns(turns: DataFrame, vocabulary: bytes | None = None, *, conv_id:
     return map_arrow(rows, run, FORMATTED)
 
 
-def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (conv_id, turn, role, ids, loss) with both lists as bytes for a shuffle: two bytes a token
-    (big-endian, so that bytes sort as ids do) and a bit a mask."""
-    for batch in batches:
-        ids, loss = batch.column(3), batch.column(4)
-        as_bytes = [ids[i].values.to_numpy().astype(">u2").tobytes() for i in range(batch.num_rows)]
-        as_bits = [np.packbits(loss[i].values.to_numpy().view(np.uint8)).tobytes() for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(as_bytes, pa.binary()), pa.array(as_bits, pa.binary())], ["conv_id", "turn", "role", "ids", "loss"])
+def packed(width: str):
+    """What turns rows (conv_id, turn, role, ids, loss) into ones with both lists as bytes for a shuffle: an id by ``width``
+    and a bit a mask."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, loss = batch.column(3), batch.column(4)
+            as_bytes = [ids[i].values.to_numpy().astype(width).tobytes() for i in range(batch.num_rows)]
+            as_bits = [np.packbits(loss[i].values.to_numpy().view(np.uint8)).tobytes() for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(as_bytes, pa.binary()), pa.array(as_bits, pa.binary())], ["conv_id", "turn", "role", "ids", "loss"])
+
+    return run
 
 
 def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFrame:
@@ -103,7 +120,8 @@ def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFram
     the loss mask, and the length of the written form. Turns pass one by one, so a conversation of any
     length needs no more memory than its longest turn."""
     ship(formatted.sparkSession)
-    sent = formatted.sparkSession.sparkContext.broadcast(vocabulary or ranks_file(name=PLAIN))
+    vocabulary = vocabulary or ranks_file(name=PLAIN)
+    sent, middle, width = formatted.sparkSession.sparkContext.broadcast(vocabulary), reserved(vocabulary)[1], width_of(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(sent.value).decode_bytes
@@ -120,9 +138,9 @@ def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFram
                     if state is None or conv != key:
                         done += [closed()] if state else []
                         key, state = conv, (0, hashlib.sha256(), hashlib.sha256(), 0, 0)
-                    own = np.frombuffer(raw, ">u2")
+                    own = np.frombuffer(raw, width)
                     mask = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own))
-                    body = int(np.flatnonzero(own == BODY)[0])
+                    body = int(np.flatnonzero(own == middle)[0])
                     role, text = string(own[1:body].tolist()), string(own[body + 1 : -1].tolist())
                     learned = unescape(string(own[mask == 1].tolist()))
                     n, a, b, chars, length = state
@@ -140,7 +158,7 @@ def read_back(formatted: DataFrame, vocabulary: bytes | None = None) -> DataFram
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
 
-    small = map_arrow(formatted.select("conv_id", "turn", "role", "ids", "loss"), packed, "conv_id long, turn long, role string, ids binary, loss binary")
+    small = map_arrow(formatted.select("conv_id", "turn", "role", "ids", "loss"), packed(width), "conv_id long, turn long, role string, ids binary, loss binary")
     ordered = small.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").select("conv_id", "ids", "loss")
     return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

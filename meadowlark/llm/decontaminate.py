@@ -9,8 +9,9 @@ space count as one space.
 
 The items are staged in the shared folder in blocks of about ``BLOCK`` characters, whatever their number,
 and never pass the driver. A task reads a block at a time and searches about ``HELD`` bytes of documents
-for its items before it takes the next block; so documents are scanned once and never joined, and a task
-holds one block's automaton.
+for its items before it takes the next block; so documents are scanned once and never joined. A Python worker keeps
+the automata it has built for its next texts and tasks, as many as hold ``KEPT`` characters of items, and one at least;
+with more items than that, every ``HELD`` bytes of documents cost one building of each block beyond.
 
 Nulls: a null or empty text or item matches nothing, a row with a null item id neither. Items that
 share an id are all searched, and the least distance counts. Repeated rows are marked alike. An empty
@@ -20,7 +21,7 @@ whole, in memory in proportion to its length.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from meadowlark.llm.common import col, file_system, fresh_path, map_arrow, pa_type, place_of
 
 RATE = 0.08
-BLOCK, HELD = 1_000_000, 32 << 20
+BLOCK, HELD, KEPT = 1_000_000, 32 << 20, 8_000_000
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType())]))
 
 
@@ -81,6 +82,7 @@ class Finder:
         for piece, where in pieces.items():
             self.found.add_word(piece, (len(piece), where))
         self.found.make_automaton()
+        self.size = sum(len(x) for _, x in items) + 1
 
     def leaks(self, text: str) -> list[tuple[int, int]]:
         """(item id, distance) of each item that occurs."""
@@ -127,27 +129,40 @@ def read_block(path: str, block: int) -> list[tuple[int, str]]:
     return sorted({(r["item_id"], x) for r in rows if (x := normal(r["text"]))})
 
 
+#: The automata of this worker, in the order of their making.
+_BUILT: OrderedDict[tuple[str, int, float], Finder] = OrderedDict()
+
+
+def finder(path: str, block: int, rate: float, kept: int) -> Finder:
+    """A block's automaton, built or kept from before. Blocks come round in order, so of more than fit the first ones
+    stay and the last place goes to each of the others in turn."""
+    key = (path, block, rate)
+    if key not in _BUILT:
+        for other in [k for k in _BUILT if k[0] != path]:  # of another run
+            del _BUILT[other]
+        made = Finder(read_block(path, block), rate)
+        while _BUILT and sum(f.size for f in _BUILT.values()) + made.size > kept:
+            _BUILT.popitem()  # the one built last: those before it serve every round of blocks
+        _BUILT[key] = made
+    return _BUILT[key]
+
+
 def mark(docs: DataFrame, items: DataFrame, rate: float = RATE, *, text: str = "text", item_text: str = "text", item_id: str = "item_id", block: int = BLOCK) -> DataFrame:
     """Adds ``leaks``: an array of (item_id, distance), by item, of the items that occur in the text."""
     path, n = staged_items(items, item_text, item_id, block)
     at = place_of(docs, text)
     keep = [i for i, c in enumerate(docs.columns) if c.lower() != "leaks"]
     schema = T.StructType([*[docs.schema.fields[i] for i in keep], T.StructField("leaks", LEAKS)])
-    names, kind = [f.name for f in schema.fields], pa_type(LEAKS)
+    names, kind, kept = [f.name for f in schema.fields], pa_type(LEAKS), KEPT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder: tuple[int, Finder] | None = None
-
         def searched(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            nonlocal finder
             texts = [normal(t) for batch in held for t in batch.column(at).to_pylist()]
             least: list[dict[int, int]] = [{} for _ in texts]
             for b in range(n):
-                if finder is None or finder[0] != b:  # the only block is built once a task
-                    finder = None
-                    finder = b, Finder(read_block(path, b), rate)
+                found = finder(path, b, rate, kept)
                 for t, best in zip(texts, least, strict=True):
-                    for item, distance in finder[1].leaks(t) if t else ():
+                    for item, distance in found.leaks(t) if t else ():
                         best[item] = min(distance, best.get(item, distance))
             leaks = iter(sorted(x.items()) for x in least)
             for batch in held:

@@ -5,7 +5,9 @@ texts. A document is taken as a mixture of languages: expectation-maximisation e
 proportions from its trigrams' likelihoods, first over all learned languages. The languages whose
 removal costs the least likelihood are then removed and the rest fitted again, down to one; the set is
 the one on this way (or the best single language) whose likelihood, less half the log of the sample
-size for each further language, is highest. Nothing else bounds the number of languages of a text.
+size for each further language, is highest. Nothing else bounds the number of languages of a text. A fit goes on
+until its distance from the maximum, which its slopes bound, can't change what is removed, or until it rises no more in
+single precision; there is no other limit on its rounds.
 
 Texts are lower-cased, ASCII signs that aren't letters become a single space (other characters keep their
 UTF-8 bytes, signs among them), and trigrams of bytes are counted over the whole text; of a very long one
@@ -36,8 +38,8 @@ BUCKETS = 1 << 13
 MAX_LANGS = 400
 SMOOTH = 0.05
 ROUNDS = 12
-#: A fit goes on by so many times ROUNDS until it is so near its maximum, unless it tells enough before.
-TRIES, CLOSE = 10, 0.2
+#: A fit goes on, ROUNDS at a time, until it is so near its maximum, tells enough before, or no longer rises.
+CLOSE = 0.2
 PER_DOC = 96  # rows of counts held at once: 96 x 8192 x 4 bytes
 AT_ONCE = 4 << 20  # likelihoods (trigrams of some texts x languages) held at once, or those of one text
 
@@ -132,7 +134,7 @@ def choose(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     penalty = np.log(np.maximum(counts.sum(1) / 3, 2)) / 2
     row, bucket = np.nonzero(counts)
     n, given = counts[row, bucket], model.T[bucket]
-    left, tries = np.ones(alone.shape, bool), np.zeros(len(counts), int)
+    left, before = np.ones(alone.shape, bool), np.full(len(counts), -np.inf)
     share = np.full(alone.shape, 1 / len(model), np.float32)
     while True:
         going = left.sum(1) > 1  # of one language there is nothing to remove
@@ -154,8 +156,8 @@ def choose(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
         together = losses(n, part, ends, np.cumsum(np.take_along_axis(share, order, 1), axis=1))
         # as many as cost less than one penalty, which only raises the value; one at least, all but one at most
         cheap = np.logical_and.accumulate((together + under[:, None]) / 3 < penalty[texts, None], axis=1).sum(1)
-        wait = (cheap == 0) & (under / 3 > CLOSE) & (tries[texts] < TRIES)  # the fit isn't close enough yet to tell
-        tries[texts] = np.where(wait, tries[texts] + 1, 0)
+        wait = (cheap == 0) & (under / 3 > CLOSE) & (likely > before[texts])  # the fit isn't close enough yet to tell
+        before[texts] = np.where(wait, likely, -np.inf)
         gone = (np.arange(left.shape[1]) < np.clip(cheap, 1, left.sum(1) - 1)[:, None]) & ~wait[:, None]
         np.put_along_axis(left, order, np.take_along_axis(left, order, 1) & ~gone, 1)
         share = np.where(left, np.maximum(share, 1e-6), 0)

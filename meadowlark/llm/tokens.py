@@ -18,7 +18,7 @@ def ranks_file(folder: str = VOCABULARIES, name: str = PLAIN) -> bytes:
 
 def first_free(raw: bytes) -> int:
     """The first id that a file of ranks doesn't use."""
-    return max((int(line.split()[1]) for line in raw.splitlines()), default=-1) + 1
+    return max((int(line.split()[1]) for line in raw.splitlines() if line.strip()), default=-1) + 1
 
 
 @functools.lru_cache(2)
@@ -26,7 +26,7 @@ def _built(raw: bytes):
     import tiktoken
     from public_tokenizers import PATTERN
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, raw.splitlines()))}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 

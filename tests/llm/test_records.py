@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meadowlark.llm import chat_format, media_sniff, token_counts, warc_revisit
 from meadowlark.llm.tokens import FREE, MULTI, PLAIN, encoder, ranks_file
+from tests.llm.conftest import prose
 
 TEXTS = ["", None, "a", "b" * 575, "c" * 576, "d" * 577, "é😀 BM RIFF", "BM" * 400, "e" * 60000]
 
@@ -159,6 +160,23 @@ def test_mask_and_escapes(spark):
     assert chat_format.format_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_a_vocabulary_beyond_16_bits(spark):
+    """Reserved ids follow the vocabulary's own, however many it has."""
+    ranks = [line.split() for line in ranks_file(name=PLAIN).splitlines()]
+    wide = b"\n".join(b"%s %d" % (token, int(i) + (66000 if int(i) >= 300 else 0)) for token, i in ranks)
+    free = FREE + 66000
+    assert chat_format.reserved(wide) == (free, free + 1, free + 2) and chat_format.width_of(wide) == ">u4"
+    turns = [(1, 0, "user", "some words, " + prose(1, 50)), (1, 1, "assistant", SAID + " é and the rest of it"), (2, 0, "assistant", None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    formatted = chat_format.format_turns(df, wide)
+    ids = {(r.conv_id, r.turn): r.ids for r in formatted.collect()}
+    assert (ids[1, 0][0], ids[1, 0][-1]) == (free, free + 2) and any(65536 <= i < free for x in ids.values() for i in x)
+    got = {r.conv_id: r for r in chat_format.read_back(formatted, wide).collect()}
+    text = "".join(f"{r}\n{t or ''}\n" for c, _, r, t in turns if c == 1)
+    assert got[1].turns_sha256 == hashlib.sha256(text.encode()).hexdigest() and got[1].loss_sha256 == hashlib.sha256(turns[1][3].encode()).hexdigest()
+    assert (got[2].n_turns, got[2].loss_chars) == (1, 0)
+
+
 def records(spark, rows):
     schema = "record_id long, type string, url string, ts timestamp, etag string, last_modified string, headers map<string,string>, extra string"
     return spark.createDataFrame([(i, k, u, None if t is None else __import__("datetime").datetime.fromtimestamp(t), e, m, h, "x") for i, k, u, t, e, m, h in rows], schema)

@@ -152,6 +152,8 @@ def test_leaks(spark, monkeypatch):
         assert marked.count() == len(docs)
         assert {(r.doc_id, x.item_id): x.distance for r in marked.collect() for x in r.leaks} == want
     assert len(want) > 10
+    monkeypatch.setattr(decontaminate, "KEPT", 1000)  # two or three of the blocks stay
+    assert {(r.doc_id, x.item_id): x.distance for r in decontaminate.mark(d, b, block=400).collect() for x in r.leaks} == want
     kept = {r.doc_id for r in decontaminate.decontaminate(d, b).collect()}
     assert kept == {i for i, _ in docs} - {i for i, _ in want}
     assert decontaminate.mark(d, b.limit(0)).where("size(leaks) > 0").count() == 0 and decontaminate.mark(d.limit(0), b).count() == 0
@@ -255,6 +257,19 @@ def test_choice_of_languages_is_the_best_set():
         lang_id.AT_ONCE = lang_id_pieces
 
 
+def test_slow_fits_go_on(monkeypatch):
+    """A round at a time or many, the same sets: no number of tries ends a fit."""
+    model = relatives(5, 4, 2)
+    rng = np.random.default_rng(9)
+    counts = np.array([mixed_text(model, dict(enumerate(rng.dirichlet(np.full(6, 0.5)))), int(rng.integers(200, 6000)), i) + np.eye(1, lang_id.BUCKETS, 7, dtype=np.float32)[0] for i in range(30)])
+    want = lang_id.choose(counts.copy(), model)
+    monkeypatch.setattr(lang_id, "ROUNDS", 1)
+    got = lang_id.choose(counts.copy(), model)
+    assert [set(np.flatnonzero(g >= 0.01)) for g in got] == [set(np.flatnonzero(g >= 0.01)) for g in want]
+    same = np.repeat(model[:1], 3, axis=0)  # languages that can't be told apart
+    assert (lang_id.choose(counts.copy(), same) > 0).sum(1).tolist() == [1] * 30
+
+
 def test_fit_tells_languages_from_noise(spark):
     rng = random.Random(3)
     rows = [(i, sentences(i, lang, 40), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 40)]
