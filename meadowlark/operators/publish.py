@@ -89,10 +89,12 @@ def metadata(scores: DataFrame, retention_days: int = 1000) -> DataFrame:
 
 
 def deletion_plan(keys: DataFrame, prefixes: list[str], batch: int = 1000) -> DataFrame:
-    """(key, batch): keys under deprecated prefixes in batches of about ``batch``. Deleting stays with whoever asked."""
-    under = keys.where(starts_with_any(F.col("key"), prefixes))
-    n = F.greatest(F.ceil(F.lit(under.count()) / batch), F.lit(1))
-    return under.select("key", F.pmod(F.xxhash64("key"), n).alias("batch"))
+    """(key, batch): keys under deprecated prefixes in batches of ``batch`` (the last may have fewer), in the order of the
+    keys. Deleting stays with whoever asked."""
+    from meadowlark.operators.rank import numbered
+
+    under = keys.where(starts_with_any(F.col("key"), prefixes)).select("key")
+    return numbered(under, [F.asc("key")], "_n").select("key", F.floor((F.col("_n") - 1) / batch).alias("batch"))
 
 
 def starts_with_any(key: Column, prefixes: list[str]) -> Column:

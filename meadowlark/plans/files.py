@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meadowlark import schemas
 from meadowlark.functions import scalars
-from meadowlark.operators import market, panel, publish, universe
+from meadowlark.operators import market, panel, publish, rank, universe
 from meadowlark.plans import sql
 from meadowlark.plans.prices import bars_of, rounded, scores_of
 from meadowlark.plans.registry import query
@@ -17,9 +17,9 @@ from meadowlark.sources.derived import table
 from meadowlark.sources.scratch import fresh_path
 
 
-def one_file(df: DataFrame, *order: str) -> DataFrame:
-    """A file whose lines have an order: small ones only."""
-    return df.repartition(1).sortWithinPartitions(*order)
+def in_order(df: DataFrame, *order: str) -> DataFrame:
+    """Rows as files whose names and lines have an order, written in parallel: readers take lines as they lie."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 # ---- universes ----------------------------------------------------------------------------------
@@ -35,14 +35,14 @@ def _listing(spark, sf) -> DataFrame:
 @query("universe_csv", f"SELECT \"Symbol\" AS symbol, coalesce(name, \"Symbol\") AS name, sector, 'NA' AS industry FROM (SELECT p_partkey, {_BRAND} FROM part) QUALIFY row_number() OVER (PARTITION BY \"Symbol\" ORDER BY p_partkey DESC) = 1")
 def universe_csv(spark, sf):
     path = fresh_path(spark, "universe")
-    one_file(_listing(spark, sf), "p_partkey").drop("p_partkey").write.option("header", True).csv(path)
+    in_order(_listing(spark, sf), "p_partkey").drop("p_partkey").write.option("header", True).csv(path)
     return readers.universe(spark, path)
 
 
 def _jp(spark, sf) -> str:
     path = fresh_path(spark, "universe-jp")
     rows = _listing(spark, sf).withColumn("Symbol", F.when(F.col("p_partkey") % 7 == 0, " ").otherwise(F.concat(F.lit(" "), "Symbol", F.lit("  ")))).withColumn("Market", F.lit("Prime"))
-    out = one_file(rows, "p_partkey").drop("p_partkey").write.option("header", True)
+    out = in_order(rows, "p_partkey").drop("p_partkey").write.option("header", True)
     out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
@@ -63,17 +63,17 @@ _NOT = " AND ".join(f"NOT contains(upper(name), '{w}')" for w in universe.NOT_CO
 _GONE = "|".join(universe.DELISTED)
 
 
-@query(
-    "universe_select",
-    f"""WITH p AS (SELECT *, 'Q' || translate(p_partkey::VARCHAR, {_LETTERS}) AS symbol, p_name || CASE p_size % 11 WHEN 0 THEN ' Trust' WHEN 1 THEN ' (old)' ELSE '' END AS name,
+UNIVERSE_SQL = f"""WITH p AS (SELECT *, 'Q' || translate(p_partkey::VARCHAR, {_LETTERS}) AS symbol, p_name || CASE p_size % 11 WHEN 0 THEN ' Trust' WHEN 1 THEN ' (old)' ELSE '' END AS name,
   CASE WHEN p_size % 8 <> 0 THEN p_retailprice ELSE 0 END AS price, CASE WHEN p_size % 5 <> 0 THEN p_size % 7 <> 0 END AS active,
   CASE p_size % 3 WHEN 0 THEN 'OTC' WHEN 1 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange, CAST(DATE '1990-01-01' + CAST(p_partkey * 37 % 4000 AS INTEGER) AS DATE) AS ipo FROM part),
 k AS (SELECT *, symbol IN {_ALWAYS} AS always FROM p)
 SELECT symbol, name, p_type AS sector, p_brand AS industry, price, coalesce(CASE WHEN p_size % 4 <> 0 THEN p_size * 1e6 END, 0) AS market_cap, CAST(ipo AS VARCHAR) AS ipo_date, exchange FROM k
 WHERE price > 0 AND coalesce(active, TRUE) AND exchange <> 'OTC' AND NOT regexp_matches(upper(name), '\\b({_GONE})\\b')
-  AND (always OR (length(symbol) <= 5 AND NOT (length(symbol) = 5 AND regexp_matches(symbol, '[UWRX]$')) AND {_NOT} AND ipo <= DATE '1998-01-01' - 730))""",
-)
-def universe_select(spark, sf):
+  AND (always OR (length(symbol) <= 5 AND NOT (length(symbol) = 5 AND regexp_matches(symbol, '[UWRX]$')) AND {_NOT} AND ipo <= DATE '1998-01-01' - 730))"""
+
+
+def universe_sources(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The screener's rows and the profiles."""
     part, size = table(spark, sf, "part"), F.col("p_size")
     symbol = F.concat(F.lit("Q"), F.translate(F.col("p_partkey").cast("string"), "0123456789", "ABUWRXCDEF"))
     name = F.concat("p_name", F.when(size % 11 == 0, " Trust").when(size % 11 == 1, " (old)").otherwise(""))
@@ -83,7 +83,12 @@ def universe_select(spark, sf):
     profiles = part.select(
         symbol.alias("symbol"), F.when(size % 5 != 0, size % 7 != 0).alias("isActivelyTrading"), name.alias("companyName"), exchange.alias("exchange"), ipo.alias("ipoDate"), F.col("p_type").alias("sector"), F.col("p_brand").alias("industry"), F.when(size % 4 != 0, size * 1e6).alias("marketCap")
     )
-    return universe.select(stocks, profiles, "1998-01-01", _ALWAYS)
+    return stocks, profiles
+
+
+@query("universe_select", UNIVERSE_SQL)
+def universe_select(spark, sf):
+    return universe.select(*universe_sources(spark, sf), "1998-01-01", _ALWAYS)
 
 
 _SEGMENT = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(universe.SEGMENTS))
@@ -128,10 +133,12 @@ def estimates_projection(spark, sf):
 
 @query("float_snapshot", "SELECT n_name AS ticker, c_acctbal AS freeFloat, c_name AS source FROM customer JOIN nation ON c_nationkey = n_nationkey QUALIFY row_number() OVER (PARTITION BY n_name ORDER BY c_acctbal DESC, c_name) = 1")
 def float_snapshot(spark, sf):
-    """A file a nation, an array of its customers, the largest balance first."""
+    """A file a nation, an array of the three customers with the largest balances, the largest first."""
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
-    order = F.struct((-F.col("c_acctbal")).alias("o"), F.col("c_name").alias("source"), F.col("n_name").alias("ticker"), F.col("c_acctbal").alias("freeFloat"))
-    files = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_nationkey").agg(F.to_json(F.array_sort(F.collect_list(order))).alias("value"))
+    known = c.join(n, c.c_nationkey == n.n_nationkey).select("n_nationkey", F.col("n_name").alias("ticker"), F.col("c_acctbal").alias("freeFloat"), F.col("c_name").alias("source"))
+    some = rank.top(known, 3, ["n_nationkey"], [F.desc("freeFloat"), F.asc("source")])
+    order = F.struct((-F.col("freeFloat")).alias("o"), "source", "ticker", "freeFloat")
+    files = some.groupBy("n_nationkey").agg(F.to_json(F.array_sort(F.collect_list(order))).alias("value"))
     path = fresh_path(spark, "float")
     files.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
     return readers.shares_float(spark, path).select("ticker", "freeFloat", "source")
@@ -139,7 +146,8 @@ def float_snapshot(spark, sf):
 
 @query("government_bonds", "SELECT CAST(o_orderdate AS DATE) AS dt, round(avg(o_totalprice) / 10000, 3) AS yield FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1996-01-01' AND month(o_orderdate) <> 2 GROUP BY 1")
 def government_bonds(spark, sf):
-    """A year of the ministry's file: Shift-JIS, title, header, era dates, a missing February."""
+    """A year of the ministry's file: Shift-JIS, title, header, era dates, a missing February. It is one file, as it lands:
+    a line a day of the year."""
     days = table(spark, sf, "orders").where("o_orderdate >= date'1995-01-01' and o_orderdate < date'1996-01-01'").groupBy(F.to_date("o_orderdate").alias("dt")).agg(F.round(F.avg("o_totalprice") / 10000, 3).alias("y"))
     cell = F.when(F.month("dt") == 2, "-").otherwise(F.col("y").cast("string"))
     era = F.concat(F.lit("H7."), F.month("dt").cast("string"), F.lit("."), F.dayofmonth("dt").cast("string"))
@@ -147,7 +155,7 @@ def government_bonds(spark, sf):
     heads = spark.createDataFrame([("国債金利情報,,(単位 : %)", -2), ("基準日,1年,10年", -1)], "line string, at int")
     path = fresh_path(spark, "bonds")
     with readers.any_charset(spark):
-        one_file(lines.unionByName(heads), "at").select("line").write.option("encoding", "windows-31j").option("sep", "\t").option("quote", "\0").option("escapeQuotes", False).csv(path)
+        lines.unionByName(heads).coalesce(1).sortWithinPartitions("at").select("line").write.option("encoding", "windows-31j").option("sep", "\t").option("quote", "\0").option("escapeQuotes", False).csv(path)
     return readers.government_bonds(spark, path)
 
 

@@ -51,9 +51,9 @@ def freeze_plan_forced(spark, sf):
     return publish.freeze_years(keys.select("key", scalars.year_of_key(F.col("key")).alias("year")), existing(keys), YEAR, force=True)
 
 
-@query("deletion_plan", f"WITH {sql.KEYS} SELECT key FROM keys WHERE key LIKE 'scores/RS_scores/%'")
+@query("deletion_plan", f"WITH {sql.KEYS} SELECT key, (row_number() OVER (ORDER BY key) - 1) // 10 AS batch FROM keys WHERE key LIKE 'scores/RS_scores/%' OR key LIKE 'stocks/daily/core/1996/%'")
 def deletion_plan(spark, sf):
-    return publish.deletion_plan(all_keys(spark, sf), [*quality.DEPRECATED, "scores/RS_scores/"], 10).where("batch >= 0").select("key")
+    return publish.deletion_plan(all_keys(spark, sf), [*quality.DEPRECATED, "scores/RS_scores/", "stocks/daily/core/1996/"], 10)
 
 
 _MONTHS = f"""{sql.BARS}, k AS (SELECT DISTINCT symbol, year(dt) AS year, month(dt) AS month, 'stocks/intraday/5min/' || year(dt) || '/' || lpad(month(dt)::VARCHAR, 2, '0') || '/' || symbol || '.json' AS key FROM bars),

@@ -11,9 +11,6 @@ from meadowlark.plans.prices import bars_of, rounded
 from meadowlark.plans.registry import query
 from meadowlark.sources import derived, readers
 
-ERA_DATES = ["S49.9.24", "H1.1.4", "R6.6.30", "H31.4.30", "X1.1.1", "R6.13.1", "-"]
-
-
 def settled(df: DataFrame, column: str) -> DataFrame:
     """A column to six places. These means end in decimal ties, which plain rounding would decide by noise in
     the last bit: so what is cut off starts at an odd place, where no short decimal lies."""
@@ -40,9 +37,23 @@ def yield_unpivot(spark, sf):
     return market.yields_as_bars(rates, {"year2": "Y2", "year10": "Y10", "year30": "Y30"})
 
 
-@query("era_date", "SELECT * FROM (VALUES ('S49.9.24', DATE '1974-09-24'), ('H1.1.4', DATE '1989-01-04'), ('R6.6.30', DATE '2024-06-30'), ('H31.4.30', DATE '2019-04-30'), ('X1.1.1', NULL), ('R6.13.1', NULL), ('-', NULL)) v(era, dt)")
+_ERA = "CASE o_orderkey % 5 WHEN 0 THEN 'S' WHEN 1 THEN 'R' WHEN 2 THEN 'X' ELSE 'H' END"
+
+
+@query(
+    "era_date",
+    f"""WITH e AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, {_ERA} AS era, CASE o_orderkey % 5 WHEN 0 THEN 1925 WHEN 1 THEN 1990 ELSE 1988 END AS zero, CASE WHEN o_orderkey % 7 = 0 THEN 12 ELSE 0 END AS more FROM orders)
+    SELECT o_orderkey, era || (year(d) - zero) || '.' || (month(d) + more) || '.' || day(d) AS era, CASE WHEN era <> 'X' AND more = 0 THEN CASE WHEN era <> 'R' THEN d ELSE try_cast((year(d) + 28) || '-' || month(d) || '-' || day(d) AS DATE) END END AS dt FROM e""",
+)
 def era_date(spark, sf):
-    return spark.createDataFrame([(x,) for x in ERA_DATES], "era string").select("era", readers.era_date(F.col("era")).alias("dt"))
+    """Order dates as an era's: two eras' own years, one 28 years later (a 29 February may not exist then), a letter that is
+    none, months beyond 12."""
+    k, d = F.col("o_orderkey") % 5, F.to_date("o_orderdate")
+    letter = F.when(k == 0, "S").when(k == 1, "R").when(k == 2, "X").otherwise("H")
+    year = F.year(d) - F.when(k == 0, 1925).when(k == 1, 1990).otherwise(1988)
+    month = F.month(d) + F.when(F.col("o_orderkey") % 7 == 0, 12).otherwise(0)
+    era = F.concat(letter, year.cast("string"), F.lit("."), month.cast("string"), F.lit("."), F.dayofmonth(d).cast("string"))
+    return derived.table(spark, sf, "orders").select("o_orderkey", era.alias("era")).withColumn("dt", readers.era_date(F.col("era")))
 
 
 @query("market_transpose", f"WITH {sql.SERIES} SELECT year(dt) AS year, dt, ticker, {settled_sql("close")} AS close, volume FROM series")

@@ -82,6 +82,12 @@ def valid_groups(spark, sf):
     return rs.member_count(derived.table(spark, sf, "nation").select(name.alias("industry")), "industry").withColumnRenamed("stock_count", "n")
 
 
-@query("date_chunks", "SELECT CAST(d AS DATE) AS chunk_start, CAST(least(d + INTERVAL 55 DAY, TIMESTAMP '1998-12-31') AS DATE) AS chunk_end FROM generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '1998-12-31', INTERVAL 56 DAY) g(d)")
+@query(
+    "date_chunks",
+    "WITH r AS (SELECT o_custkey AS symbol, min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders GROUP BY 1), c AS (SELECT symbol, a, b, unnest(range(0, b - a + 1, 56)) AS n FROM r) SELECT symbol, a + n::INTEGER AS chunk_start, least(a + n::INTEGER + 55, b) AS chunk_end FROM c",
+)
 def date_chunks(spark, sf):
-    return readers.date_chunks(spark, "1992-01-01", "1998-12-31")
+    """Each customer's span of orders, cut as a source that serves 56 days at a time is asked for it."""
+    day = F.to_date("o_orderdate")
+    spans = derived.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("symbol")).agg(F.min(day).alias("start"), F.max(day).alias("end"))
+    return readers.date_chunks(spans)

@@ -125,10 +125,12 @@ def keys(spark: SparkSession, base: str) -> DataFrame:
     return found.select(F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), F.concat(F.lit("^.*"), F.lit(base.rstrip("/").rsplit("/", 1)[-1]), F.lit("/")), "").alias("key"), F.col("length").alias("size"))
 
 
-def date_chunks(spark: SparkSession, start: str, end: str, days: int = 55) -> DataFrame:
-    """(chunk_start, chunk_end): a range cut for a source that serves ``days`` days at a time."""
-    starts = spark.range(1).select(F.explode(F.expr(f"sequence(date'{start}', date'{end}', interval {days + 1} days)")).alias("chunk_start"))
-    return starts.select("chunk_start", F.least(F.date_add("chunk_start", days), F.lit(end).cast("date")).alias("chunk_end"))
+def date_chunks(ranges: DataFrame, days: int = 55) -> DataFrame:
+    """(chunk_start, chunk_end) beside the other columns: each row's range of dates (``start``, ``end``) cut for a source
+    that serves ``days`` days at a time. A row without a range has no chunks."""
+    there = ranges.where("start <= end")
+    starts = there.withColumn("chunk_start", F.explode(F.expr(f"sequence(start, `end`, interval {days + 1} days)")))
+    return starts.withColumn("chunk_end", F.least(F.date_add("chunk_start", days), F.col("end"))).drop("start", "end")
 
 
 def market_year(spark: SparkSession, path: str) -> DataFrame:
@@ -153,12 +155,15 @@ def years_by_symbol(keys: DataFrame) -> DataFrame:
 
 
 def read_or_build(read, build) -> DataFrame:
-    """What is there already, else what ``build`` makes of it: a stage that a rerun takes up again."""
+    """What is there already, else what ``build`` makes of it: a stage that a rerun takes up again. Only a path or a table
+    that isn't there leads to ``build``; any other error stays one."""
     from pyspark.errors import AnalysisException
 
     try:
         return read()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
         return build()
 
 

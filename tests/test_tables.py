@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meadowlark import schemas
@@ -136,7 +137,7 @@ def test_landed_json(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"data": {"VIX": {"2024-01-01": {"close": 1.5, "volume": 0}}}}')
     m = readers.market_series(spark, str(tmp_path / "m.json")).first()
     assert (m.ticker, m.dt, m.close, m.volume) == ("VIX", d(2024, 1, 1), 1.5, None)
-    chunks = [tuple(x) for x in readers.date_chunks(spark, "2024-01-01", "2024-04-01").collect()]
+    chunks = [tuple(x) for x in readers.date_chunks(spark.sql("select date'2024-01-01' as start, date'2024-04-01' as `end` union all select null, null")).collect()]
     assert chunks == [(d(2024, 1, 1), d(2024, 2, 25)), (d(2024, 2, 26), d(2024, 4, 1))]
 
 
@@ -162,6 +163,9 @@ def test_quality(spark):
     keys = spark.createDataFrame([("stocks/summary/a", 1), ("stocks/daily/b", 1)], schemas.KEYS)
     assert [(r.prefix, r.files) for r in quality.deprecated(keys).collect()] == [("stocks/summary/", 1)]
     assert publish.deletion_plan(keys, quality.DEPRECATED).count() == 1
+    many = spark.range(25).select(F.format_string("stocks/summary/%02d", "id").alias("key"), F.lit(1).alias("size"))
+    batches = publish.deletion_plan(many, quality.DEPRECATED, 10).groupBy("batch").agg(F.count("*").alias("n"), F.min("key").alias("k"))
+    assert {(r.batch, r.n, r.k[-2:]) for r in batches.collect()} == {(0, 10, "00"), (1, 10, "10"), (2, 5, "20")}
 
 
 def test_streamed_bars_equal_batch(spark, tmp_path):
@@ -196,6 +200,8 @@ def test_listings_and_fallbacks(spark, tmp_path):
     path = str(tmp_path / "cache")
     made = readers.read_or_build(lambda: spark.read.parquet(path), lambda: keys)
     assert made.count() == 4
+    with pytest.raises(AnalysisException):  # a misspelt column isn't a missing file
+        readers.read_or_build(lambda: keys.select("kye"), lambda: keys)
     keys.limit(1).write.parquet(path)
     assert readers.read_or_build(lambda: spark.read.parquet(path), lambda: keys).count() == 1
     (tmp_path / "y.json").write_text('{"year": 2024, "tickers": ["V"], "data": {"2024-01-02": {"V": {"close": 2.5}}}}')
