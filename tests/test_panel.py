@@ -161,3 +161,18 @@ def test_numbers_over_ranges(spark):
     got = [(r.k, r.id) for r in rank.numbered(df, [F.desc("k"), F.asc("id")]).orderBy("n").collect()]
     assert got == sorted(((i % 7, i) for i in range(3000)), key=lambda x: (-x[0], x[1]))
     assert rank.numbered(df.limit(0), [F.asc("id")]).count() == 0
+
+
+def test_groups_share_exchanges(spark):
+    """The ranks of a day's symbols are worked out once, though sectors, industries and symbols use them."""
+    import re
+
+    rng = __import__("random").Random(1)
+    b = bars(spark, {s: [rng.uniform(5, 9) for _ in range(260)] for s in "abcd"})
+    dim = spark.createDataFrame([(s, s, "S", "I") for s in "abcd"], "symbol string, name string, sector string, industry string")
+    scores, weight = rs.individual(b), rs.weights(b)
+    out = rs.day_summary(scores, dim, rs.group(scores, dim, weight, "sector", 6), rs.group(scores, dim, weight, "industry", 6))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"ReusedExchange", final)) >= 4
