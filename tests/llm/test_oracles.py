@@ -91,5 +91,5 @@ def test_staged_tables_are_released(spark):
 
 def test_registry():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14)) and "pipeline" in names
     assert set(queries.oracle_sql()) <= set(names)
