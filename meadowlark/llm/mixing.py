@@ -13,6 +13,8 @@ above ``CLOSE`` (targets that no weights meet together, each of them reachable a
 much; the last dimension's targets come first then. ``margins`` reports each value's tokens, target,
 whether it was clamped, and the expected tokens.
 
+Topics are the caller's, or learned from the texts (``topics``), as in the queries.
+
 Only DataFrame functions are used. The loop works on cells, not on documents; its windows hold the
 cells of one value (of a language: sources x topics, some 100 bytes each, which Spark spills if it must).
 
@@ -31,6 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meadowlark.llm import topics
 from meadowlark.llm.common import col, staged, without
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -44,8 +47,7 @@ CELLS_TO_SEND = 200_000
 
 
 def form_of(text: Column) -> Column:
-    """A text's form: table, marked-up, shouted, note, article or book. The queries take it for the topic,
-    as their table has none."""
+    """A text's form: table, marked-up, shouted, note, article or book; for callers that mix by form, not by topic."""
     t = F.coalesce(text, F.lit(""))
     n = F.length(t)
     return (
@@ -187,7 +189,7 @@ def sampled(rows: DataFrame, cells: DataFrame, *, doc_id: str = "doc_id", seed:
 
 def mix(
     docs: DataFrame,
-    topic: Column | str,
+    topic: Column | str | None = None,
     rate: float = RATE,
     powers: dict[str, float] | None = None,
     shares: dict[str, dict[str | None, float]] | None = None,
@@ -196,14 +198,19 @@ def mix(
     doc_id: str = "doc_id",
     seed: int = 5,
 ) -> DataFrame:
-    """Adds ``topic``, ``n_tokens``, ``prob`` and ``sampled`` to all documents. ``shares`` states target
+    """Adds ``topic``, ``n_tokens``, ``prob`` and ``sampled`` to all documents. Without ``topic`` the topics are
+    learned (``topics``), and the documents staged with them. ``shares`` states target
     shares (dimension -> value -> share, values that aren't named get none); else ``powers`` tempers a
     dimension's own token counts."""
+    if topic is None:
+        docs, topic = topics.with_topics(docs, text=text), "topic"
     rows = counted(docs, topic, text=text)
     return sampled(rows, fitted(rows, rate, powers, shares), doc_id=doc_id, seed=seed)
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:
     """The query's columns: every document's cell, tokens, probability and whether it is sampled."""
-    slim = staged(counted(docs.select("doc_id", "source", "lang", "text"), form_of(F.col("text"))).drop("text"), "counted")
-    return sampled(slim, fitted(slim))
+    rows = counted(docs.select("doc_id", "source", "lang", "text"), F.lit(None).cast("string"))
+    slim = staged(topics.featured(rows).drop("text", "topic", "cell_topic"), "counted")
+    mixed = topics.assign(slim, topics.learn(slim)).withColumn("cell_topic", value_of(F.col("topic")))
+    return sampled(mixed, fitted(mixed))

@@ -53,10 +53,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics (by the text's form) come near their target
+    """Samples documents so that sources, languages and topics (learned from these documents) come near their target
     weights. A null source or language is a value of its own; texts without words are sampled at their
     cell's rate; rows with the same id, repeated or not, meet the same fate if their cells have the same rate."""
-    mixed = mixing.mix(docs.select(*COLUMNS), mixing.form_of(F.col("text")))
+    mixed = mixing.mix(docs.select(*COLUMNS))
     return mixed.where("sampled").select(*COLUMNS, "topic", "n_tokens", "prob")
 
 
