@@ -90,4 +90,5 @@ def test_mixing_learns_topics(spark):
     assert len({r.topic for r in mixed.values()}) == topics.TOPICS
     assert all((r.topic, r.n_tokens, r.sampled) == (mixed[i].topic, mixed[i].n_tokens, mixed[i].sampled) for i, r in digest.items())
     cells = mixing.fitted(mixing.counted(docs.join(spark.createDataFrame([(i, r.topic) for i, r in mixed.items()], "doc_id long, topic string"), "doc_id"), "topic"))
-    assert all(abs(r.expected - r.target) < 1e-5 * sum(x.n_tokens for x in mixed.values()) for r in mixing.margins(cells).collect())
+    told = mixing.margins(cells).where("dimension = 'topic'").collect()  # languages and topics may contradict each other: topics come first
+    assert len(told) == topics.TOPICS and all(abs(r.expected - r.target) < 1e-5 * sum(x.n_tokens for x in mixed.values()) for r in told)
