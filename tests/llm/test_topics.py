@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meadowlark.llm import mixing, topics
 from meadowlark.llm.common import staged
+from tests.llm.test_texts import expected, goals
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -89,6 +90,6 @@ def test_mixing_learns_topics(spark):
     mixed = {r.doc_id: r for r in mixing.mix(docs).collect()}
     assert len({r.topic for r in mixed.values()}) == topics.TOPICS
     assert all((r.topic, r.n_tokens, r.sampled) == (mixed[i].topic, mixed[i].n_tokens, mixed[i].sampled) for i, r in digest.items())
-    cells = mixing.fitted(mixing.counted(docs.join(spark.createDataFrame([(i, r.topic) for i, r in mixed.items()], "doc_id long, topic string"), "doc_id"), "topic"))
-    told = mixing.margins(cells).where("dimension = 'topic'").collect()  # languages and topics may contradict each other: topics come first
-    assert len(told) == topics.TOPICS and all(abs(r.expected - r.target) < 1e-5 * sum(x.n_tokens for x in mixed.values()) for r in told)
+    cells, took = expected(mixed.values())  # languages and topics may contradict each other: topics come first
+    for v, goal in goals(cells, mixing.RATE, 2, lambda v, t: t ** mixing.TEMPER["topic"]).items():
+        assert abs(took[2, v] - goal) < 1e-5 * sum(cells.values())
