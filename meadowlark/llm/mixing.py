@@ -75,8 +75,8 @@ def topic_of(text: Column, terms: dict[str, dict[str, float]], other: str = "oth
 
 
 def tokens_of(text: Column) -> Column:
-    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-    return F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """Runs of characters that aren't white space."""
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")).cast("long")
 
 
 def value_of(value: Column) -> Column:
@@ -212,5 +212,5 @@ def mixing_digest(docs: DataFrame) -> DataFrame:
     """The query's columns: every document's cell, tokens, probability and whether it is sampled."""
     rows = counted(docs.select("doc_id", "source", "lang", "text"), F.lit(None).cast("string"))
     slim = staged(topics.featured(rows).drop("text", "topic", "cell_topic"), "counted")
-    mixed = topics.assign(slim, topics.learn(slim)).withColumn("cell_topic", value_of(F.col("topic")))
+    mixed = staged(topics.assign(slim, topics.learn(slim)).withColumn("cell_topic", value_of(F.col("topic"))), "mixed")
     return sampled(mixed, fitted(mixed))

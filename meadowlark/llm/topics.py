@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meadowlark.functions.arrays import bound
 from meadowlark.llm.common import col, staged, without
 
 #: A power of two, at most 64: each bucket has an ASCII character, from this one on.
@@ -56,8 +57,7 @@ def featured(docs: DataFrame, *, text: str = "text") -> DataFrame:
     def counts(s: Column) -> Column:  # of a string that has a letter a word
         return F.array(*[(F.octet_length(s) - F.octet_length(F.replace(s, F.lit(chr(FIRST + b)), F.lit("")))) for b in range(BUCKETS)])
 
-    # as a variable of a function over one element the string is made once, not once a bucket
-    return docs.select(*keep, F.transform(F.array(F.array_join(letter, "")), counts)[0].alias("_counts"))
+    return docs.select(*keep, bound(F.array_join(letter, ""), counts).alias("_counts"))
 
 
 def weighted(rows: DataFrame, lang: str) -> DataFrame:
@@ -65,19 +65,23 @@ def weighted(rows: DataFrame, lang: str) -> DataFrame:
     keep = [col(c) for c in without(rows, ["_counts", "_weights", "_all", "_lang"])]
     key = F.coalesce(F.concat(F.lit("="), col(lang).cast("string")), F.lit("null")) if lang in rows.columns else F.lit("null")
     total = F.aggregate("_counts", F.lit(0).cast("long"), lambda s, x: s + x)
-    weights = F.transform("_counts", lambda x: F.floor(F.sqrt(x / F.greatest("_all", F.lit(1))) * SCALE).cast("int"))
-    return rows.select(*keep, "_counts", key.alias("_lang"), total.alias("_all")).select(*keep, "_lang", "_all", weights.alias("_weights"))
+    # bound, as the optimizer would put the sum into the loop over the buckets
+    weights = bound(F.greatest(total, F.lit(1)), lambda n: F.transform("_counts", lambda x: F.floor(F.sqrt(x / n) * SCALE).cast("int")))
+    return rows.select(*keep, "_counts", key.alias("_lang")).select(*keep, "_lang", total.alias("_all"), weights.alias("_weights"))
 
 
 def directed(rows: DataFrame, means: DataFrame, lang: str) -> DataFrame:
     """``featured`` rows with ``_all`` words and ``_unit``, a vector of equal length, in place of the counts."""
-    keep = [col(c) for c in without(rows, ["_counts", "_weights", "_all", "_lang", "_mean", "_off", "_norm", "_unit"])]
+    keep = [col(c) for c in without(rows, ["_counts", "_weights", "_all", "_lang", "_mean", "_unit"])]
     side = F.broadcast(means) if means.count() <= LANGS_TO_SEND else means
-    off = F.zip_with("_weights", "_mean", lambda x, m: x - F.coalesce(m, F.lit(0.0)))
-    norm = F.sqrt(F.aggregate("_off", F.lit(0.0), lambda s, x: s + x * x))
     both = weighted(rows, lang).join(side, "_lang", "left").withColumn("_mean", F.coalesce("_mean", F.array_repeat(F.lit(0.0), BUCKETS)))
-    normed = both.select(*keep, "_all", off.alias("_off")).withColumn("_norm", norm)
-    return normed.select(*keep, "_all", F.transform("_off", lambda x: F.coalesce(F.round(F.try_divide(x, F.col("_norm")) * SCALE), F.lit(0.0)).cast("int")).alias("_unit"))
+    off = F.zip_with("_weights", "_mean", lambda x, m: x - F.coalesce(m, F.lit(0.0)))
+
+    def scaled(v: Column) -> Column:
+        by = F.coalesce(F.try_divide(F.lit(float(SCALE)), F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))), F.lit(0.0))
+        return bound(by, lambda f: F.transform(v, lambda x: F.rint(x * f).cast("int")))
+
+    return both.select(*keep, "_all", bound(off, scaled).alias("_unit"))
 
 
 def dot(vector: list[float], at: int = 0) -> str:
@@ -138,7 +142,7 @@ def learn(rows: DataFrame, k: int = TOPICS, *, lang: str = "lang") -> Model:
 
 def assign(rows: DataFrame, model: Model, *, lang: str = "lang") -> DataFrame:
     """``featured`` rows with ``topic`` in place of the counts."""
-    keep = [col(c) for c in without(rows, ["_counts", "_weights", "_all", "_lang", "_mean", "_off", "_norm", "_unit", "_scores", "_topic", "_close", "topic"])]
+    keep = [col(c) for c in without(rows, ["_counts", "_weights", "_all", "_lang", "_mean", "_unit", "_scores", "_topic", "_close", "topic"])]
     if not model.centroids:
         return rows.select(*keep, F.lit(NONE).alias("topic"))
     found = closest(directed(rows, model.means, lang), model.centroids)
