@@ -150,6 +150,6 @@ def assign(rows: DataFrame, model: Model, *, lang: str = "lang") -> DataFrame:
 
 
 def with_topics(docs: DataFrame, k: int = TOPICS, *, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with a learned ``topic``, staged."""
-    slim = docs.select(*[col(c) for c in dict.fromkeys([text, *([lang] if lang in docs.columns else [])])])
-    return staged(assign(featured(docs, text=text), learn(staged(featured(slim, text=text).drop(text), "features"), k, lang=lang), lang=lang), "topics")
+    """``docs`` with a learned ``topic``. They are staged with their counts, which are made once; learning reads only those."""
+    counted = staged(featured(docs, text=text), "features")
+    return assign(counted, learn(counted, k, lang=lang), lang=lang)
