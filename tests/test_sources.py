@@ -130,3 +130,19 @@ def test_failed_requests_are_tried_again(spark, requests, monkeypatch):
     gone = landed.Folder(path + "/from=1999-01-01/chunk=0", part.start, part.stop)
     monkeypatch.setattr(landed, "file_system", real)
     assert list(reader.read(gone)) == []
+
+
+def test_requests_share_folders(spark, tmp_path):
+    """Folders and partitions don't grow with the symbols; rows and filters stay what they were."""
+    path, day = str(tmp_path / "many"), dt.date(2024, 1, 1)
+    data = [(f"s{s:03}", day + dt.timedelta(days=i), 1.0, 2.0, 0.5, 1.5, i) for s in range(100) for i in (0, 25)]
+    landed.land(spark.createDataFrame(data, BAR), path, days=20, chunk=2, start="2024-01-01")
+    df = landed.read(spark, path, days=20)
+    assert df.rdd.getNumPartitions() == 26 and len({d for d, _, fs in os.walk(f"{path}/from=2024-01-01") if fs}) == 13  # of 50 requests
+    assert sorted(map(tuple, df.collect())) == sorted(data)
+    some = df.where("symbol in ('s003', 's099') and dt > date'2024-01-21'")
+    assert some.rdd.getNumPartitions() == 2 and sorted(map(tuple, some.collect())) == [r for r in data if r[0] in ("s003", "s099") and r[6]]
+    assert sorted(r.symbol for r in landed.read(spark, path, "symbol string", days=20).collect()) == sorted(r[0] for r in data)
+    reader = landed.LandedReader({"path": path, "days": "20", "tasks": "4"}, df.schema)
+    parts = reader.partitions()
+    assert len(parts) == 4 and sorted(r["symbol"] + str(r["volume"]) for p in parts for b in reader.read(p) for r in b.to_pylist()) == sorted(r[0] + str(r[6]) for r in data)
