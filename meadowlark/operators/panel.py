@@ -69,5 +69,5 @@ def drop_empty(bars: DataFrame) -> DataFrame:
 
 
 def missing_symbols(universe: DataFrame, bars: DataFrame) -> DataFrame:
-    """Symbols of the universe that have no bar at all."""
-    return universe.select("symbol").join(bars.select("symbol"), "symbol", "left_anti")
+    """Symbols of the universe that have no bar at all. Bars give each symbol once a task before they are dealt out."""
+    return universe.select("symbol").join(bars.select("symbol").distinct(), "symbol", "left_anti")

@@ -72,4 +72,4 @@ def landed_failures(spark, sf):
     from meadowlark.sources.derived import table
 
     listed = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"))
-    return panel.missing_symbols(listed, landed.read(spark, _landed(spark, sf)))
+    return panel.missing_symbols(listed, landed.read(spark, _landed(spark, sf), "symbol string"))

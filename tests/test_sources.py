@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
 
+from meadowlark.operators import panel
 from meadowlark.sources import landed, snapshots
 
 FIELDS = "k long, year int, v double"
@@ -146,3 +147,10 @@ def test_requests_share_folders(spark, tmp_path):
     reader = landed.LandedReader({"path": path, "days": "20", "tasks": "4"}, df.schema)
     parts = reader.partitions()
     assert len(parts) == 4 and sorted(r["symbol"] + str(r["volume"]) for p in parts for b in reader.read(p) for r in b.to_pylist()) == sorted(r[0] + str(r[6]) for r in data)
+
+
+def test_missing_symbols_deal_out_each_symbol_once(spark):
+    bars = spark.range(1000).select((F.col("id") % 3).cast("string").alias("symbol"))
+    missing = panel.missing_symbols(spark.createDataFrame([("1",), ("7",), (None,)], "symbol string"), bars)
+    assert "Aggregate" in missing._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.symbol or "" for r in missing.collect()) == ["", "7"]
