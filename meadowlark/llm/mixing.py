@@ -44,6 +44,9 @@ RATE = 0.5
 BLOCK, CLOSE = 6, 1e-6
 #: Cells are broadcast to the documents if there are at most so many (about 100 bytes each).
 CELLS_TO_SEND = 200_000
+#: Cells of a raking task, and tasks at least: a block deals the cells out 18 times, and each task that does so leaves
+#: files of a disk block or more, however few its cells.
+CELLS_A_TASK, LEAST_TASKS = 2_000, 4
 
 
 def form_of(text: Column) -> Column:
@@ -122,7 +125,8 @@ def taken() -> Column:
 def rake(cells: DataFrame, rate: float) -> DataFrame:
     """Adds ``w`` to cells with ``tokens`` and ``target_*``: of it counts ``least(w, tokens)``, whose sums by
     each dimension are the targets within ``CLOSE`` of the budget, where some weights can do that."""
-    out = cells.withColumn("w", F.col("tokens") * F.lit(float(rate)))
+    tasks = max(LEAST_TASKS, -(-cells.count() // CELLS_A_TASK))
+    out = cells.withColumn("w", F.col("tokens") * F.lit(float(rate))).coalesce(tasks)
     before = None
     while True:
         for _ in range(BLOCK):
@@ -131,7 +135,7 @@ def rake(cells: DataFrame, rate: float) -> DataFrame:
                 full = F.col("w") >= own
                 held, free = F.sum(F.when(full, own).otherwise(0.0)).over(w), F.sum(F.when(full, 0.0).otherwise(F.col("w"))).over(w)
                 by = F.when((free > 0) & (target > held), (target - held) / free).otherwise(F.coalesce(F.try_divide(target, held + free), F.lit(1.0)))
-                out = out.withColumn("w", F.least(F.col("w") * by, own * 1e6))
+                out = out.withColumn("w", F.least(F.col("w") * by, own * 1e6)).coalesce(tasks)
         out = staged(out, "rake")
         worst = deviation(out, rate)
         if worst < CLOSE:
